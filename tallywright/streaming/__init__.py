@@ -1,0 +1 @@
+"""Left empty on purpose: every report is a dated batch; there is no watermark, state or late data to model."""
