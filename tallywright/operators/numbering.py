@@ -69,10 +69,10 @@ def number_rows(
     match += [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group_by]
     place = F.row_number().over(Window.partitionBy(*group_by, "_slice").orderBy(*[F.col(k).asc() for k in order_by]))
     return (
-        sliced.withColumn("_place", place)
+        sliced.withColumn("_in_slice", place)
         .join(offsets, match)
-        .withColumn(name, F.col("_place") + F.col("_before"))
-        .drop("_slice", "_place", "_before", "_of_slice", *[f"_of_{g}" for g in group_by])
+        .withColumn(name, F.col("_in_slice") + F.col("_before"))
+        .drop("_slice", "_in_slice", "_before", "_of_slice", *[f"_of_{g}" for g in group_by])
     )
 
 

@@ -221,9 +221,12 @@ def fee_profiles(
     )
     ids = merchant.select(F.col("id").alias("mid_merchant"), "mid")
     rest = [c for c in flat.columns if c not in ("fee_profile_id", "FROM", "TO")]
+    # without a profile the list of networks is empty, as the source joins texts that are all missing
+    names = F.when(F.col("fee_profile_id").isNull(), F.lit("")).otherwise(F.col("networkSpecificFeesName"))
     tree = entity_hierarchy(entity)
     return (
         tree.join(ids, F.col("merchant_entity_id") == F.col("mid_merchant"), "left")
         .join(on_profile, F.col("merchant_entity_id") == F.col("on_merchant"), "left")
+        .withColumn("networkSpecificFeesName", names)
         .select("fee_profile_id", *tree.columns, "mid", "is_active", "FROM", "TO", *rest)
     )

@@ -644,8 +644,8 @@ def address_expressions(t):
 
 @query
 def list_parameter(t):
-    wanted = t.stores.sparkSession.range(1).select(F.explode(F.split(F.lit("1,3,9"), ",")).cast("int").alias("Status"))
-    return t.stores.join(wanted, "Status", "left_semi").select("StoreID", "Status")
+    wanted = [int(part) for part in text.split_list("1, 3, 9")]
+    return t.stores.filter(filters.in_if_set(F.col("Status"), wanted)).select("StoreID", "Status")
 
 
 @query
