@@ -3,37 +3,52 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+LABELS_PER_WORD = 62
+
+
 def labelled_sums(
     df: DataFrame,
     group_by: Sequence[str],
-    rules: Sequence[tuple[str, Column, Column]],
+    rules: Sequence[tuple[str, Column, str]],
+    measures: Mapping[str, Column],
     label: str,
     amount: str,
     amount_type: str,
 ) -> DataFrame:
     """Sum per group and label, where a row may carry any number of labels.
 
-    Each rule is (label, condition, measure). One scan and one aggregate hold every rule as a conditional sum beside
-    a conditional count; the wide result (one row per group) is then turned long, keeping the labels that matched.
-    Rows are therefore never multiplied, and only partial sums are shuffled.
+    Each rule is (label, condition, name of the measure it adds up). A row's labels are first written as bits of a
+    number; rows are then added up per group and bit pattern, of which a group has few, and only those sums are
+    repeated per label. The table is read once and no row is multiplied. (Rows without a label are not filtered out
+    before the sum: the filter would be moved below the conditions and make Spark work them out twice.)
     """
-    sums, counts = [], []
-    for i, (_, condition, measure) in enumerate(rules):
-        sums.append(F.sum(F.when(condition, measure)).cast(amount_type).alias(f"_s{i}"))
-        counts.append(F.count_if(condition).alias(f"_n{i}"))
-    wide = df.groupBy(*group_by).agg(*sums, *counts)
+    words = [rules[i : i + LABELS_PER_WORD] for i in range(0, len(rules), LABELS_PER_WORD)]
+    patterns = {
+        f"_labels{w}": reduce(
+            lambda a, b: a.bitwiseOR(b),
+            [F.when(condition, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, (_, condition, _) in enumerate(word)],
+        )
+        for w, word in enumerate(words)
+    }
+    marked = df.select(*group_by, *[c.alias(n) for n, c in patterns.items()], *[c.alias(f"_m_{n}") for n, c in measures.items()])
+    reduced = marked.groupBy(*group_by, *patterns).agg(*[F.sum(f"_m_{n}").alias(f"_m_{n}") for n in measures])
     entries = F.array(
         *[
-            F.struct(F.lit(text).alias(label), F.col(f"_s{i}").alias(amount), F.col(f"_n{i}").alias("_n"))
-            for i, (text, _, _) in enumerate(rules)
+            F.when(
+                F.col(f"_labels{w}").bitwiseAND(F.lit(1 << i).cast("long")) != 0,
+                F.struct(F.lit(text).alias(label), F.col(f"_m_{measure}").cast(amount_type).alias(amount)),
+            )
+            for w, word in enumerate(words)
+            for i, (text, _, measure) in enumerate(word)
         ]
     )
-    matched = F.filter(entries, lambda e: e["_n"] > 0)
-    return wide.select(*group_by, F.explode(matched).alias("_e")).select(*group_by, f"_e.{label}", f"_e.{amount}")
+    lines = reduced.select(*group_by, F.explode(F.array_compact(entries)).alias("_e")).select(*group_by, "_e.*")
+    return lines.groupBy(*group_by, label).agg(F.sum(amount).cast(amount_type).alias(amount))
 
 
 def unpivot_present(

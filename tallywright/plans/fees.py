@@ -127,12 +127,17 @@ def merchant_processing_view(
     lines = fee_lines.select(
         *keys,
         *[(F.col(c) if case_sensitive else F.lower(F.rtrim(F.col(c)))).alias(c) for c in looked_at],
-        F.col(FEES).cast("decimal(18,2)").alias(FEES),
-        F.col(COUNT).cast("int").alias(COUNT),
-        F.col(VOLUME).cast("decimal(18,2)").alias(VOLUME),
+        FEES,
+        COUNT,
+        VOLUME,
     )
-    labelled = [(r.label, all_of([c.test(case_sensitive) for c in r.tests]), F.col(r.measure)) for r in rules]
-    return labelled_sums(lines, keys, labelled, label="Value", amount="Amount", amount_type="decimal(28,2)")
+    labelled = [(r.label, all_of([c.test(case_sensitive) for c in r.tests]), r.measure) for r in rules]
+    measures = {
+        FEES: F.col(FEES).cast("decimal(18,2)"),
+        COUNT: F.col(COUNT).cast("int"),
+        VOLUME: F.col(VOLUME).cast("decimal(18,2)"),
+    }
+    return labelled_sums(lines, keys, labelled, measures, label="Value", amount="Amount", amount_type="decimal(28,2)")
 
 
 NETWORKS = {"AMEX": "American Express", "Visa": "Visa", "MasterCard": "MasterCard", "Discover": "Discover"}

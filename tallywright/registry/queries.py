@@ -500,14 +500,15 @@ def unpivot(t):
 
 @query
 def multi_label_rollup(t):
-    volume = F.col("settlement_amount")
+    present = F.col("card_present") == "true"
     rules = [
-        ("all", F.lit(True), volume),
-        ("card present", F.col("card_present") == "true", volume),
-        ("reversals", F.col("transaction_type") == "REVERS", volume),
-        ("present credit", (F.col("card_present") == "true") & (F.col("transaction_type") == "CREDIT"), volume),
+        ("all", F.lit(True), "volume"),
+        ("card present", present, "volume"),
+        ("reversals", F.col("transaction_type") == "REVERS", "volume"),
+        ("present credit", present & (F.col("transaction_type") == "CREDIT"), "volume"),
     ]
-    return labelled_sums(t.ledger_transaction, ["activity_date"], rules, "label", "amount", "decimal(28,2)")
+    measures = {"volume": F.col("settlement_amount")}
+    return labelled_sums(t.ledger_transaction, ["activity_date"], rules, measures, "label", "amount", "decimal(28,2)")
 
 
 @query

@@ -27,8 +27,8 @@ VIEWS: dict[str, str] = {
         select concat('txn_',l_orderkey,'_',l_linenumber) as id, concat('mer_',o_custkey) as merchant_id, concat('pi_',l_orderkey) as payment_intent_id, concat('pm_',o_custkey % 97) as payment_method_id, concat('MID',100000+o_custkey) as mid,
         min(l_shipdate) as created_at, min(l_shipdate)+interval 2 day as settled_at, min(l_shipdate)+interval 3 day as funded_at, 'USD' as currency,
         cast(sum(cast(round(l_extendedprice*100) as bigint)) as bigint) as amount, cast(sum(cast(round(l_quantity) as bigint)*30) as bigint) as merchant_fee, cast(sum(cast(round(l_quantity) as bigint)*10) as bigint) as buyer_fee,
-        case min(l_returnflag) when 'R' then 'REVERSAL' when 'A' then 'CREDIT' else 'DEBIT' end as type, case min(l_linestatus) when 'F' then 'SETTLED' else 'PENDING' end as status, case l_linenumber % 3 when 0 then 'BANK_ACCOUNT' else 'CREDIT_CARD' end as payment_method_type,
-        case min(l_linestatus) when 'F' then 'FUNDED' else 'UNFUNDED' end as funding_status, cast(l_linenumber % 2 as int) as can_be_paid, concat('net_',l_orderkey) as network_transaction_id, case min(l_returnflag) when 'R' then concat('txn_',l_orderkey,'_1') end as original_transaction_id
+        case min(case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end) when 3 then 'REVERSAL' when 1 then 'CREDIT' else 'DEBIT' end as type, case min(case l_linestatus when 'F' then 0 else 1 end) when 0 then 'SETTLED' else 'PENDING' end as status, case l_linenumber % 3 when 0 then 'BANK_ACCOUNT' else 'CREDIT_CARD' end as payment_method_type,
+        case min(case l_linestatus when 'F' then 0 else 1 end) when 0 then 'FUNDED' else 'UNFUNDED' end as funding_status, cast(l_linenumber % 2 as int) as can_be_paid, concat('net_',l_orderkey) as network_transaction_id, case min(case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end) when 3 then concat('txn_',l_orderkey,'_1') end as original_transaction_id
         from lineitem join orders on l_orderkey=o_orderkey group by l_orderkey,l_linenumber,o_custkey
     """,
     "merchant_payout": """
