@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_SAMPLED_PER_SLICE = 20
-WIDEST_SLICING = 1024
+MOST_SLICES = 4096
+ROWS_PER_TASK = 1_000_000
 
 
-def _slice_count(df: DataFrame) -> int:
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(WIDEST_SLICING, wanted))
+def _slice_count(df: DataFrame, largest: int, rows_per_task: int) -> int:
+    """Enough slices for the largest group, and not fewer than the shuffle has partitions."""
+    wanted = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * largest // rows_per_task)
+    return max(8, min(MOST_SLICES, wanted))
 
 
 def _cut_points(df: DataFrame, keys: Sequence[str], slices: int) -> list[Column]:
@@ -42,21 +44,31 @@ def _slice_of(keys: Sequence[str], cuts: Sequence[Column]) -> Column:
     return F.when(coarse == 0, F.lit(0)).otherwise(base + fine)
 
 
+def _largest_group(df: DataFrame, group_by: Sequence[str]) -> int:
+    counts = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.agg(F.max("_rows")).first()[0] or 0
+
+
 def number_rows(
     df: DataFrame,
     order_by: Sequence[str],
     group_by: Sequence[str] = (),
     name: str = "row_no",
-    slices: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """`row_number()` over the order, within each group if groups are given, without one task per group.
+    """`row_number()` over the order, within each group if groups are given, with no more than a bounded task.
 
-    The rows are cut into slices of the order. A row's number is its place within its slice plus the rows of the group
-    in earlier slices, so a group of any size is spread over all slices. The slice is a function of the row's own
-    values alone, which keeps a recomputed task in step with the counts. `order_by` should tell the rows of a group
-    apart; rows that tie get consecutive numbers in no set order. Nulls come first.
+    The largest group is counted first. While it stays within `rows_per_task` a plain window does. Beyond that the rows
+    are cut into slices of the order: a row's number is its place within its slice plus the rows of the group in
+    earlier slices, so a group of any size is spread over many tasks. The slice is a function of the row's own values
+    alone, which keeps a recomputed task in step with the counts. `order_by` should tell the rows of a group apart;
+    rows that tie get consecutive numbers in no set order. Nulls come first.
     """
-    cuts = _cut_points(df, order_by, slices or _slice_count(df))
+    order = [F.col(k).asc() for k in order_by]
+    largest = _largest_group(df, group_by)
+    if largest <= rows_per_task:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*group_by).orderBy(*order)).cast("long"))
+    cuts = _cut_points(df, order_by, _slice_count(df, largest, rows_per_task))
     sliced = df.withColumn("_slice", _slice_of(order_by, cuts))
     counts = sliced.groupBy(*group_by, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*group_by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -67,7 +79,7 @@ def number_rows(
     )
     match = [F.col("_slice") == F.col("_of_slice")]
     match += [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group_by]
-    place = F.row_number().over(Window.partitionBy(*group_by, "_slice").orderBy(*[F.col(k).asc() for k in order_by]))
+    place = F.row_number().over(Window.partitionBy(*group_by, "_slice").orderBy(*order))
     return (
         sliced.withColumn("_in_slice", place)
         .join(offsets, match)

@@ -555,7 +555,8 @@ def win_row_number(t):
 @query
 def win_row_number_grouped(t):
     rows = t.txn.select("merchant_id", "created_at", "id")
-    return number_rows(rows, ["created_at", "id"], ["merchant_id"], "place").select("id", F.col("place").cast("long").alias("place"))
+    numbered = number_rows(rows, ["created_at", "id"], ["merchant_id"], "place", rows_per_task=20)
+    return numbered.select("id", "place")
 
 
 @query

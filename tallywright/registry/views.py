@@ -36,12 +36,12 @@ VIEWS: dict[str, str] = {
         case o_orderstatus when 'F' then 'GROSS' when 'O' then 'NET' else 'OTHER' end funding_type from orders
     """,
     "mpt": """
-        select distinct concat('mp_',l_orderkey) merchant_payout_id, concat('txn_',l_orderkey,'_',l_linenumber) transaction_id from lineitem
+        select concat('mp_',l_orderkey) merchant_payout_id, concat('txn_',l_orderkey,'_',l_linenumber) transaction_id from (select distinct l_orderkey, l_linenumber from lineitem) q
     """,
     "mfp": """
-        select concat('mfp_',o_custkey,'_',ym) as id, concat('mer_',o_custkey) as merchant_id, cast(m as timestamp) + interval 1 month as created_at,
+        select concat('mfp_',o_custkey,'_',ym) as id, concat('mer_',o_custkey) as merchant_id, cast(make_date(y,mo,1) as timestamp) + interval 1 month as created_at,
         case when (o_custkey+ym) % 11 = 0 then 'FAILED' else 'PAID' end as status, cast(n*1000 as bigint) as amount
-        from (select o_custkey, date_trunc('month',o_orderdate) as m, year(o_orderdate)*100+month(o_orderdate) as ym, count(*) as n from orders group by 1,2,3) q
+        from (select o_custkey, y, mo, y*100+mo as ym, n from (select o_custkey, year(o_orderdate) as y, month(o_orderdate) as mo, count(*) as n from orders group by 1,2,3) p) q
     """,
     "mfpmp": """
         select concat('mfp_',o_custkey,'_',year(o_orderdate)*100+month(o_orderdate)) merchant_fee_payout_id, concat('mp_',o_orderkey) merchant_payout_id from orders
@@ -78,10 +78,10 @@ VIEWS: dict[str, str] = {
         select s_suppkey StoreID, case when s_suppkey % 10 <> 9 then s_nationkey end ChainID, element_status Status, case when s_suppkey % 17 = 3 then 1 else 0 end Deleted, cast(s_suppkey % 3 as int) CollectionsBy, concat('EXT',s_suppkey) ExternalStoreID from (select *, case s_suppkey % 5 when 0 then 1 when 1 then 2 when 2 then 3 when 3 then 7 else 9 end element_status from supplier) q
     """,
     "settlement_log": """
-        select sid*1000000+ym as SettlementLogId, sid as CoreId, 3 as CoreTypeId, sid*1000000+ym as ReconcileId, cast(m as date) as FromDate, cast(m + interval 1 month - interval 1 day as date) as ToDate,
+        select sid*1000000+ym as SettlementLogId, sid as CoreId, 3 as CoreTypeId, sid*1000000+ym as ReconcileId, make_date(y,mo,1) as FromDate, last_day(make_date(y,mo,1)) as ToDate,
         q as UpFront_PilTotal_Total, case when n % 4 <> 0 then q*2 end as Draft_PilTotal_Total, q*3 as Product_PilTotal_Total, n*7 as Pdc_PilTotal_Total, n*5 as PdcDirect_PilTotal_Total, 0-n*11 as Refund_RefundTotal_Total, 0-n*13 as Return_PaymentTotal_Total, q*5 as Net_Total, n*17 as SalesTax_Total, q*5+n*17 as Total_AfterTax,
         q as Draft_PilTotal_Vmd, n as Draft_PilTotal_Amex, n*2 as Draft_PilTotal_Ach, n*3 as Draft_PilTotal_Cash, n*4 as Draft_PilTotal_WrittenCheck, n*6 as Draft_PilTotal_External
-        from (select l_suppkey as sid, date_trunc('month',l_shipdate) as m, year(l_shipdate)*100+month(l_shipdate) as ym, cast(sum(cast(round(l_quantity) as bigint)) as bigint) as q, count(*) as n from lineitem group by 1,2,3) z
+        from (select sid, y, mo, y*100+mo as ym, q, n from (select l_suppkey as sid, year(l_shipdate) as y, month(l_shipdate) as mo, cast(sum(cast(round(l_quantity) as bigint)) as bigint) as q, count(*) as n from lineitem group by 1,2,3) x) z
     """,
     "settlement_log_fee": """
         select sid*1000000+ym as SettlementLogId, sid*10+ln as ReconcileFeeId, case ln when 6 then 17 when 7 then 35 when 5 then 4 else 3 end as FeeCategoryId,
