@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tallywright.functions.filters import all_of
 from tallywright.operators.hierarchy import entity_hierarchy
 from tallywright.operators.reshape import labelled_sums
 
@@ -20,17 +19,15 @@ class Condition:
     op: str
     values: tuple[str, ...]
 
-    def test(self, case_sensitive: bool) -> Column:
-        """The condition as a column; without case the column is expected in lower case already."""
-        text = F.col(self.column)
+    def sql(self, case_sensitive: bool) -> str:
+        """The condition as a SQL predicate; without case the column is expected in lower case already."""
         values = [v if case_sensitive else v.lower() for v in self.values]
+        quoted = ["'" + v.replace("'", "''") + "'" for v in values]
         if self.op in ("is", "is not"):
-            test = text.isin(values)
+            test = f"{self.column} in ({', '.join(quoted)})"
         else:
-            test = F.lit(False)
-            for v in values:
-                test = test | text.contains(v)
-        return ~test if self.op.endswith("not") else test
+            test = " or ".join(f"contains({self.column}, {q})" for q in quoted)
+        return f"not ({test})" if self.op.endswith("not") else f"({test})"
 
 
 @dataclass(frozen=True)
@@ -131,7 +128,7 @@ def merchant_processing_view(
         COUNT,
         VOLUME,
     )
-    labelled = [(r.label, all_of([c.test(case_sensitive) for c in r.tests]), r.measure) for r in rules]
+    labelled = [(r.label, F.expr(" and ".join(c.sql(case_sensitive) for c in r.tests)), r.measure) for r in rules]
     measures = {
         FEES: F.col(FEES).cast("decimal(18,2)"),
         COUNT: F.col(COUNT).cast("int"),

@@ -161,16 +161,22 @@ def _dated_facts(f: Franchise, params: FranchiseParams) -> DataFrame:
             for name, (category, pattern) in NAMED_FEES.items()
         ]
     )
-    log = f.settlement_log.join(keys, F.col("CoreId") == F.col("store_key"), "left_semi")
-    same = log.groupBy("ReconcileId", "CoreId", "CoreTypeId").agg(F.count(F.lit(1)).alias("twins"))
-    weighted = (
-        log.filter(F.col("FromDate") <= last_day)
-        .select("SettlementLogId", "ReconcileId", "CoreId", "CoreTypeId", "FromDate")
-        .join(same, ["ReconcileId", "CoreId", "CoreTypeId"])
-        .join(fees, F.col("SettlementLogId") == F.col("fee_log_id"))
+    shared = ["ReconcileId", "CoreId", "CoreTypeId"]
+    per_day = (
+        f.settlement_log.filter(F.col("ReconcileId").isNotNull() & F.col("CoreTypeId").isNotNull())
+        .select("SettlementLogId", *shared, "FromDate")
+        .join(keys, F.col("CoreId") == F.col("store_key"), "left_semi")
+        .join(fees, F.col("SettlementLogId") == F.col("fee_log_id"), "left")
+        .groupBy(*shared, "FromDate")
+        .agg(F.count(F.lit(1)).alias("log_rows"), *[F.sum(name).alias(name) for name in NAMED_FEES])
     )
-    charged = weighted.groupBy(F.col("CoreId").alias("store_key"), F.col("FromDate").alias("day")).agg(
-        *[F.sum(F.col(name) * F.col("twins")).alias(name) for name in NAMED_FEES]
+    # by now a key has one row per day, so counting its settlement rows over a window is bounded by the calendar
+    twins = F.sum("log_rows").over(Window.partitionBy(*shared))
+    charged = (
+        per_day.withColumn("twins", twins)
+        .filter(F.col("FromDate") <= last_day)
+        .groupBy(F.col("CoreId").alias("store_key"), F.col("FromDate").alias("day"))
+        .agg(*[F.sum(F.col(name) * F.col("twins")).alias(name) for name in NAMED_FEES])
     )
     return paid.join(keys, "store_key", "left_semi").unionByName(charged, allowMissingColumns=True)
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # recording the Python call site of every column expression takes longer than planning the report itself
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
