@@ -41,14 +41,19 @@ def labelled_sums(
         *[
             F.when(
                 F.col(f"_labels{w}").bitwiseAND(F.lit(1 << i).cast("long")) != 0,
-                F.struct(F.lit(text).alias(label), F.col(f"_m_{measure}").cast(amount_type).alias(amount)),
+                F.struct(
+                    F.lit(w * LABELS_PER_WORD + i).alias("_rule"),
+                    F.col(f"_m_{measure}").cast(amount_type).alias(amount),
+                ),
             )
             for w, word in enumerate(words)
-            for i, (text, _, measure) in enumerate(word)
+            for i, (_, _, measure) in enumerate(word)
         ]
     )
     lines = reduced.select(*group_by, F.explode(F.array_compact(entries)).alias("_e")).select(*group_by, "_e.*")
-    return lines.groupBy(*group_by, label).agg(F.sum(amount).cast(amount_type).alias(amount))
+    totals = lines.groupBy(*group_by, "_rule").agg(F.sum(amount).cast(amount_type).alias(amount))
+    texts = F.array(*[F.lit(text) for text, _, _ in rules])
+    return totals.select(*group_by, F.element_at(texts, F.col("_rule") + 1).alias(label), amount)
 
 
 def unpivot_present(
