@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallywright.operators.hierarchy import entity_hierarchy
+from tallywright.operators.joins import preserve_rows
 from tallywright.operators.reshape import labelled_sums
 
 
@@ -216,7 +217,7 @@ def fee_profiles(
     flat = flatten_configuration(fee_profile)
     on_profile = (
         merchant_fee_profile.select(
-            F.col("merchant_id").alias("on_merchant"), F.col("fee_profile_id").alias("on_profile"), "is_active"
+            F.col("merchant_id").alias("merchant_entity_id"), F.col("fee_profile_id").alias("on_profile"), "is_active"
         )
         .join(flat, F.col("on_profile") == F.col("fee_profile_id"), "left")
         .drop("on_profile")
@@ -226,9 +227,10 @@ def fee_profiles(
     # without a profile the list of networks is empty, as the source joins texts that are all missing
     names = F.when(F.col("fee_profile_id").isNull(), F.lit("")).otherwise(F.col("networkSpecificFeesName"))
     tree = entity_hierarchy(entity)
+    merchants = tree.join(ids, F.col("merchant_entity_id") == F.col("mid_merchant"), "left")
+    known = merchant_fee_profile.select(F.col("merchant_id").alias("merchant_entity_id"))
     return (
-        tree.join(ids, F.col("merchant_entity_id") == F.col("mid_merchant"), "left")
-        .join(on_profile, F.col("merchant_entity_id") == F.col("on_merchant"), "left")
+        preserve_rows(merchants, on_profile, known, "merchant_entity_id")
         .withColumn("networkSpecificFeesName", names)
         .select("fee_profile_id", *tree.columns, "mid", "is_active", "FROM", "TO", *rest)
     )
