@@ -112,7 +112,41 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from base join verdict using (doc_id)
 """
 
+OP6 = """
+with doc as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w
+  from documents
+),
+item as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w
+  from benchmark
+),
+sizes as (select distinct least(len(w), 10) k from item where len(w) > 0),
+wanted as (
+  select distinct item_id, k, array_to_string(w[i : i + k - 1], ' ') body
+  from (select item_id, w, least(len(w), 10) k, unnest(range(1, len(w) - least(len(w), 10) + 2)) i from item where len(w) > 0)
+),
+found as (
+  select doc_id, i, k, item_id
+  from (
+    select doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') body
+    from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) i from doc, sizes where len(w) >= k)
+  ) join wanted using (k, body)
+),
+hit as (select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(i, i + k)) p from found) group by doc_id),
+items as (
+  select doc_id, count(*) n_items, string_agg(id, ',' order by id) ids
+  from (select distinct doc_id, item_id::varchar id from found) group by doc_id
+)
+select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
+  sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from doc left join hit using (doc_id) left join items using (doc_id)
+"""
+
 SQL = {
+    "op6_suffix_automaton": OP6,
     "op7_rendezvous_sharding": OP7,
     "op8_quality_rules": OP8,
 }

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles, quality_rules, sharding
+from . import byte_bpe, decontamination, oracles, quality_rules, sharding
 from .storage import written
 
 SHARDS = 8
@@ -35,9 +36,37 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(counts).select(*columns)
 
 
+def op6_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = decontamination.with_hits(docs, table(spark, sf_dir, "benchmark"), window=10)
+    items = F.array_join(F.array_sort(F.transform("hits.items", lambda i: i.cast("string"))), ",")
+    return rows.select(
+        "doc_id",
+        F.col("hits.n_words").alias("n_words"),
+        decontamination.n_hit().alias("n_hit"),
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(items.cast("binary"), 256).alias("items_sha256"),
+        (decontamination.n_hit() > 0).alias("contaminated"),
+    )
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encode, decode = byte_bpe.functions(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    rows = table(spark, sf_dir, "documents").select("doc_id", encode("text").alias("ids"))
+    rows = rows.select("doc_id", "ids", decode("ids").alias("decoded"))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_suffix_automaton": op6_suffix_automaton,
     "op7_rendezvous_sharding": op7_rendezvous_sharding,
     "op8_quality_rules": op8_quality_rules,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLES: dict[str, str] = dict(oracles.SQL)
