@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, oracles, quality_rules, sharding
+from . import byte_bpe, decontamination, factorisation_machine, oracles, quality_rules, sharding, toxicity
 from .storage import written
+from .training import held_out
 
 SHARDS = 8
 
@@ -36,6 +37,22 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(counts).select(*columns)
 
 
+def _verdicts(scored: DataFrame, threshold: float) -> DataFrame:
+    predicted = (F.col("score") >= threshold).cast("int")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.log2("n_chars").cast("int").alias("length_class"))
+    labels = table(spark, sf_dir, "labels")
+    return _verdicts(factorisation_machine.scored(docs, labels, "quality", metadata=("length_class",)), 0.7)
+
+
+def op5_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _verdicts(toxicity.scored(docs, table(spark, sf_dir, "labels"), "toxic"), 0.3)
+
+
 def op6_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = decontamination.with_hits(docs, table(spark, sf_dir, "benchmark"), window=10)
@@ -63,6 +80,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_factorisation_machine": op4_factorisation_machine,
+    "op5_ftrl_toxicity": op5_ftrl_toxicity,
     "op6_suffix_automaton": op6_suffix_automaton,
     "op7_rendezvous_sharding": op7_rendezvous_sharding,
     "op8_quality_rules": op8_quality_rules,
