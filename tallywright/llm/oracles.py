@@ -145,7 +145,39 @@ select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesc
 from doc left join hit using (doc_id) left join items using (doc_id)
 """
 
+OP10 = """
+with line as (
+  select doc_id, i, l, md5(l) h
+  from (
+    select doc_id, unnest(range(1, len(ls) + 1)) i, unnest(ls) l
+    from (select doc_id, string_split(text, chr(10)) ls from documents where text is not null)
+  )
+),
+cut as (
+  select *, coalesce(lag(ends) over (partition by doc_id order by i), 1) begins
+  from (
+    select doc_id, i, l, case when ('0x' || substr(md5(concat(coalesce(lag(h) over w, ''), h)), 1, 8))::bigint % 3 = 0
+      then 1 else 0 end ends
+    from line window w as (partition by doc_id order by i)
+  )
+),
+part as (select doc_id, i, l, sum(begins) over (partition by doc_id order by i) k from cut),
+chunk as (select doc_id, k, count(*) n, string_agg(l, chr(10) order by i) body from part group by doc_id, k),
+judged as (
+  select *, n >= 2 and row_number() over (partition by body, n >= 2 order by doc_id, k) > 1 gone from chunk
+),
+result as (
+  select doc_id, sum(n)::bigint n_lines, coalesce(sum(n) filter (gone), 0)::bigint n_removed_lines,
+    count(*) filter (gone) n_removed_chunks, coalesce(string_agg(body, chr(10) order by k) filter (not gone), '') kept
+  from judged group by doc_id
+)
+select doc_id, coalesce(n_lines, 0)::bigint n_lines, coalesce(n_removed_lines, 0)::bigint n_removed_lines,
+  coalesce(n_removed_chunks, 0)::bigint n_removed_chunks, sha256(coalesce(kept, '')) kept_sha256
+from documents left join result using (doc_id)
+"""
+
 SQL = {
+    "op10_line_chunks": OP10,
     "op6_suffix_automaton": OP6,
     "op7_rendezvous_sharding": OP7,
     "op8_quality_rules": OP8,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, factorisation_machine, oracles, quality_rules, sharding, toxicity
+from . import byte_bpe, decontamination, factorisation_machine, line_dedup, oracles, quality_rules, sharding, toxicity
 from .storage import written
 from .training import held_out
 
@@ -79,6 +79,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    return rows.select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", kept)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_factorisation_machine": op4_factorisation_machine,
     "op5_ftrl_toxicity": op5_ftrl_toxicity,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_rendezvous_sharding": op7_rendezvous_sharding,
     "op8_quality_rules": op8_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_line_chunks": op10_line_chunks,
 }
 
 ORACLES: dict[str, str] = dict(oracles.SQL)
