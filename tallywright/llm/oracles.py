@@ -176,7 +176,20 @@ select doc_id, coalesce(n_lines, 0)::bigint n_lines, coalesce(n_removed_lines, 0
 from documents left join result using (doc_id)
 """
 
+OP2 = """
+with payload as (
+  select page_id, strlen(coalesce(html, '')) payload_bytes, sha1(coalesce(html, '')) payload_digest,
+    max(page_id) over (partition by coalesce(html, '')) top
+  from pages
+)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 1000 and top <> page_id then 'revisit' else 'response' end record_type,
+  case when payload_bytes >= 1000 and top <> page_id then top end refers_to
+from payload
+"""
+
 SQL = {
+    "op2_warc_ranges": OP2,
     "op10_line_chunks": OP10,
     "op6_suffix_automaton": OP6,
     "op7_rendezvous_sharding": OP7,

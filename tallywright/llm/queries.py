@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, factorisation_machine, line_dedup, oracles, quality_rules, sharding, toxicity
+from . import byte_bpe, decontamination, factorisation_machine, line_dedup, oracles, quality_rules, sharding, toxicity, warc
 from .storage import written
 from .training import held_out
 
@@ -37,6 +37,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(counts).select(*columns)
 
 
+def op2_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(warc.planned(table(spark, sf_dir, "pages"), least=1000))
+    return warc.read_archives(manifest, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def _verdicts(scored: DataFrame, threshold: float) -> DataFrame:
     predicted = (F.col("score") >= threshold).cast("int")
     return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"))
@@ -86,6 +93,7 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc_ranges": op2_warc_ranges,
     "op4_factorisation_machine": op4_factorisation_machine,
     "op5_ftrl_toxicity": op5_ftrl_toxicity,
     "op6_suffix_automaton": op6_suffix_automaton,
