@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, factorisation_machine, line_dedup, oracles, quality_rules, sharding, toxicity, warc
+from . import byte_bpe, decontamination, factorisation_machine, line_dedup, minhash, oracles, quality_rules, sharding, toxicity, warc
 from .storage import written
 from .training import held_out
 
@@ -37,6 +37,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(counts).select(*columns)
 
 
+def op1_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = minhash.grouped(docs, minhash.MinHash(shingle=2))
+    component = F.col("component").alias("component_id")
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", component, (F.col("id") == F.col("component")).alias("kept"))
+
+
 def op2_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(warc.planned(table(spark, sf_dir, "pages"), least=1000))
     return warc.read_archives(manifest, payloads=False).select(
@@ -93,6 +100,7 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_circulant_minhash": op1_circulant_minhash,
     "op2_warc_ranges": op2_warc_ranges,
     "op4_factorisation_machine": op4_factorisation_machine,
     "op5_ftrl_toxicity": op5_ftrl_toxicity,
