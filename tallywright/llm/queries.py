@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, factorisation_machine, line_dedup, minhash, oracles, quality_rules, sharding, toxicity, warc
+from . import byte_bpe, decontamination, factorisation_machine, line_dedup, minhash, oracles, quality_rules, sharding, suffix_dedup, toxicity, warc
 from .storage import written
 from .training import held_out
 
@@ -51,6 +51,18 @@ def op2_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    rows = suffix_dedup.deduplicated(docs, suffix_dedup.Repeats(length=100))
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def _verdicts(scored: DataFrame, threshold: float) -> DataFrame:
     predicted = (F.col("score") >= threshold).cast("int")
     return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"))
@@ -102,6 +114,7 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_circulant_minhash": op1_circulant_minhash,
     "op2_warc_ranges": op2_warc_ranges,
+    "op3_suffix_array": op3_suffix_array,
     "op4_factorisation_machine": op4_factorisation_machine,
     "op5_ftrl_toxicity": op5_ftrl_toxicity,
     "op6_suffix_automaton": op6_suffix_automaton,
