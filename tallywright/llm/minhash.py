@@ -10,9 +10,12 @@ Equal sets are one class from the start, represented by their smallest id. Candi
 again from the texts, in three steps, each of which only looks at what the links so far leave apart:
 1. each text with the smallest id that it shares any band with,
 2. in bands whose texts are still in several components: each text with the smallest id of the band,
-3. in bands still divided after that: all pairs from different components, of compatible size.
-So a band full of texts that are all linked to one of them costs one check a text, and no pair within it is ever formed;
-yet any two candidates that would join two components are checked.
+3. in bands still divided after that: texts of different components with each other, in blocks of `block` texts. A task
+   holds two blocks of texts that share a smallest id, compares signatures, then full sets, and returns only links that
+   join components; a text is sent once for each block of its band, never once for each other text.
+So a band full of texts that are all linked to one of them costs one check a text, and no pair within it is ever a row;
+yet any two candidates that would join two components are checked. (In step 3 sets are compared if their signatures agree
+in a share of coordinates at most five standard deviations below the wanted similarity.)
 
 Defined results: null and empty texts and texts without words have the empty set and are linked with nothing, so each
 stays. Rows that repeat an id are taken for one document. Columns other than the id and the text do not matter.
@@ -53,6 +56,7 @@ class MinHash:
     bands: int = 40
     rows: int = 6
     cells: int = 1 << 20
+    block: int = 256
     seed: int = 3
 
 
@@ -87,16 +91,21 @@ def _tables(plan: MinHash) -> tuple[np.ndarray, np.ndarray]:
     return np.lib.stride_tricks.sliding_window_view(circle, coordinates), odd
 
 
-def bands_of(hashes: np.ndarray, plan: MinHash) -> np.ndarray:
-    """One number per band, the band's own number included."""
-    if not len(hashes):
-        return np.zeros(0, np.int64)
-    windows, odd = _tables(plan)
+def signature_of(hashes: np.ndarray, plan: MinHash) -> np.ndarray:
+    windows, _ = _tables(plan)
     places = (_mix(hashes) & np.uint64(plan.cells - 1)).astype(np.int64)
     signature = np.full(plan.bands * plan.rows, np.iinfo(np.int32).max, np.int32)
     for at in range(0, len(places), 1024):  # bounded memory for very long texts
         np.minimum(signature, windows[places[at : at + 1024]].min(axis=0), out=signature)
-    rows = signature.astype(np.uint64).reshape(plan.bands, plan.rows)
+    return signature
+
+
+def bands_of(hashes: np.ndarray, plan: MinHash) -> np.ndarray:
+    """One number per band, the band's own number included."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    _, odd = _tables(plan)
+    rows = signature_of(hashes, plan).astype(np.uint64).reshape(plan.bands, plan.rows)
     return _mix(_mix(rows + odd).sum(axis=1) + odd[:, 0]).view(np.int64)
 
 
@@ -176,7 +185,7 @@ def _links(places: DataFrame, texts: DataFrame, plan: MinHash) -> DataFrame:
         divided = written(_divided(places, labels), "divided")
         if divided.isEmpty():
             break
-        more = written(_confirmed(step(divided, plan), texts, plan), "links")
+        more = written(step(divided, texts, plan), "links")
         found = found.unionByName(more)
         labels = written(components(found), "labels")
     return labels
@@ -189,16 +198,49 @@ def _divided(places: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(apart.select("band"), "band")
 
 
-def _to_least(divided: DataFrame, plan: MinHash) -> DataFrame:
+def _to_least(divided: DataFrame, texts: DataFrame, plan: MinHash) -> DataFrame:
     least = divided.groupBy("band").agg(F.min(F.struct("id", "n", "component")).alias("lead"))
     pairs = divided.join(least, "band").where("component <> lead.component").where(_compatible("n", "lead.n", plan))
-    return pairs.select(F.col("id").alias("u"), F.col("lead.id").alias("v")).distinct()
-
-
-def _across(divided: DataFrame, plan: MinHash) -> DataFrame:
-    other = divided.select("band", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "component")))
-    pairs = divided.join(other, "band").where("id > other_id and component <> other_component")
-    return pairs.where(_compatible("n", "other_n", plan)).select(F.col("id").alias("u"), F.col("other_id").alias("v")).distinct()
+    return _confirmed(pairs.select(F.col("id").alias("u"), F.col("lead.id").alias("v")).distinct(), texts, plan)
+
+
+def _across(divided: DataFrame, texts: DataFrame, plan: MinHash) -> DataFrame:
+    least = divided.groupBy("band").agg(F.min("id").alias("lead"))
+    members = divided.join(least, "band").groupBy("lead", "id").agg(F.min("component").alias("component"))
+    blocks = members.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / plan.block).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "lead").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "lead", "id", "component", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")
+    )
+
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_joining(rows.sort_values("id"), key[1] != key[2], plan), columns=["u", "v"])
+
+    return dealt.join(texts, "id").groupBy("lead", "one", "two").applyInPandas(compare, "u long, v long")
+
+
+def _joining(rows: pd.DataFrame, between: bool, plan: MinHash) -> list[tuple[int, int]]:
+    """Links that join components, among the rows of one block or between those of two."""
+    ids, block = rows["id"].tolist(), rows["block"].to_numpy()
+    sets = [shingles(t, plan.shingle) for t in rows["text"]]
+    signatures = np.stack([signature_of(s, plan) for s in sets])
+    sizes, component = np.array([len(s) for s in sets]), rows["component"].to_numpy().copy()
+    share = plan.similar / 100
+    close = (share - 5 * (share * (1 - share) / signatures.shape[1]) ** 0.5) * signatures.shape[1]
+    links = []
+    for k in range(len(ids) - 1):
+        fits = component[k + 1 :] != component[k]
+        if between:
+            fits &= block[k + 1 :] != block[k]
+        fits &= 100 * np.minimum(sizes[k + 1 :], sizes[k]) >= plan.similar * np.maximum(sizes[k + 1 :], sizes[k])
+        others = np.flatnonzero(fits) + k + 1
+        others = others[(signatures[others] == signatures[k]).sum(axis=1) >= close]
+        for j in others.tolist():
+            if component[j] != component[k] and _linked(sets[k], sets[j], plan.similar):
+                links.append((ids[k], ids[j]))
+                component[component == component[j]] = component[k]
+    return links
 
 
 def representatives(docs: DataFrame, plan: MinHash = MinHash(), key: str = "doc_id") -> DataFrame:
