@@ -165,7 +165,7 @@ class Automaton:
 def blocks(benchmark: DataFrame, item_id: str, block_words: int) -> Iterator[list[tuple[int | None, list[bytes]]]]:
     """The items in blocks of bounded size, one after the other. A word has at least a byte and a blank, so half of the
     bytes bound the words."""
-    items = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    items = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0
     count = int(total // block_words) + 1
     for block in range(count):
