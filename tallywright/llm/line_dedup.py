@@ -35,14 +35,18 @@ def chunked(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
     ends = f"""filter(sequence(1, size(_ld_lines)), i -> i = size(_ld_lines)
         or cast(conv(substr({rolled}, 1, 8), 16, 10) as bigint) % {chunking.lines_per_chunk} = 0)"""
     chunks = """zip_with(_ld_ends, slice(array_prepend(_ld_ends, 0), 1, size(_ld_ends)),
-        (e, b) -> named_struct('n', e - b, 'text', array_join(slice(_ld_lines, b + 1, e - b), '\\n')))"""
-    return (
-        docs.withColumn("_ld_lines", F.split("text", "\n", -1))
-        .withColumn("_ld_hashes", F.expr("transform(_ld_lines, l -> md5(cast(l as binary)))"))
-        .withColumn("_ld_ends", F.expr(ends))
-        .withColumn("_ld_chunks", F.expr(chunks))
-        .drop("_ld_lines", "_ld_hashes", "_ld_ends")
-    )
+        (e, b) -> named_struct('n', e - b, 'text', array_join(slice(_ld_lines, b + 1, e - b), '\n')))"""
+    rows = _computed(docs, _ld_lines=F.split("text", "\n", -1))
+    rows = _computed(rows, _ld_hashes=F.expr("transform(_ld_lines, l -> md5(cast(l as binary)))"))
+    rows = _computed(rows, _ld_ends=F.expr(ends))
+    return _computed(rows, _ld_chunks=F.expr(chunks)).drop("_ld_lines", "_ld_hashes", "_ld_ends")
+
+
+def _computed(rows: DataFrame, **values: Column) -> DataFrame:
+    """rows with further columns that are worked out once per row: as a one-element array made rows, they are not put into
+    the functions that use them, which would work them out once per line."""
+    made = F.explode(F.array(F.struct(*(value.alias(name) for name, value in values.items()))))
+    return rows.select("*", made.alias("_ld_made")).select(*(F.col(f"`{c}`") for c in rows.columns), "_ld_made.*")
 
 
 def _places(docs: DataFrame, key: str, chunking: Chunking, *more: Column) -> DataFrame:
