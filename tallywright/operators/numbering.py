@@ -4,49 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-ROWS_SAMPLED_PER_SLICE = 20
-MOST_SLICES = 4096
-ROWS_PER_TASK = 1_000_000
+TEXT_PREFIX = 8
+NUMBERS_PER_SLICE = 100_000
 
 
-def _slice_count(df: DataFrame, largest: int, rows_per_task: int) -> int:
-    """Enough slices for the largest group, and not fewer than the shuffle has partitions."""
-    wanted = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * largest // rows_per_task)
-    return max(8, min(MOST_SLICES, wanted))
-
-
-def _cut_points(df: DataFrame, keys: Sequence[str], slices: int) -> list[Column]:
-    """Up to `slices - 1` key values that cut the rows in about equal parts; the sample has a fixed size."""
-    sample = (
-        df.select(*keys).orderBy(F.rand(17)).limit(slices * ROWS_SAMPLED_PER_SLICE).sort(*keys).collect()
-    )
-    step = max(1, len(sample) // slices)
-    chosen = list(dict.fromkeys(tuple(row) for row in sample[step::step]))
-    types = [df.schema[k].dataType for k in keys]
-    return [
-        F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(values, types, keys)]) for values in chosen
-    ]
-
-
-def _slice_of(keys: Sequence[str], cuts: Sequence[Column]) -> Column:
-    """How many cut points are at or below the key, found in two steps (coarse, then fine)."""
-    if not cuts:
-        return F.lit(0)
-    key = F.struct(*[F.col(k) for k in keys])
-    stride = max(1, round(len(cuts) ** 0.5))
-    all_cuts = F.array(*cuts)
-    coarse_cuts = F.array(*cuts[::stride])
-    coarse = F.size(F.filter(coarse_cuts, lambda cut: cut <= key))
-    base = F.greatest((coarse - 1) * stride, F.lit(0))
-    fine = F.size(F.filter(F.slice(all_cuts, base + 1, F.lit(stride)), lambda cut: cut <= key))
-    return F.when(coarse == 0, F.lit(0)).otherwise(base + fine)
-
-
-def _largest_group(df: DataFrame, group_by: Sequence[str]) -> int:
-    counts = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.agg(F.max("_rows")).first()[0] or 0
+def default_slice(df: DataFrame, key: str) -> Column:
+    """A coarser value that rises with the key: the day of a time, the first characters of a text, a hundred thousand
+    numbers. Other types are their own slices."""
+    kind, column = df.schema[key].dataType, F.col(key)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return column.cast("date")
+    if isinstance(kind, T.StringType):
+        return F.substring(column, 1, TEXT_PREFIX)
+    if isinstance(kind, T.NumericType):
+        return F.floor(column / F.lit(NUMBERS_PER_SLICE))
+    return column
 
 
 def number_rows(
@@ -54,22 +28,17 @@ def number_rows(
     order_by: Sequence[str],
     group_by: Sequence[str] = (),
     name: str = "row_no",
-    rows_per_task: int = ROWS_PER_TASK,
+    slice_by: Column | None = None,
 ) -> DataFrame:
-    """`row_number()` over the order, within each group if groups are given, with no more than a bounded task.
+    """`row_number()` over the order, within each group if groups are given, one plan for every size.
 
-    The largest group is counted first. While it stays within `rows_per_task` a plain window does. Beyond that the rows
-    are cut into slices of the order: a row's number is its place within its slice plus the rows of the group in
-    earlier slices, so a group of any size is spread over many tasks. The slice is a function of the row's own values
-    alone, which keeps a recomputed task in step with the counts. `order_by` should tell the rows of a group apart;
-    rows that tie get consecutive numbers in no set order. Nulls come first.
+    The rows are cut into slices of the order: a row's number is its place within its slice plus the rows of the group in
+    earlier slices, so a group is spread over as many tasks as it has slices. `slice_by` must not fall while the first
+    order key rises; left out, it is `default_slice` of that key. No job runs while the plan is built. `order_by` should
+    tell the rows of a group apart; rows that tie get consecutive numbers in no set order. Nulls come first.
     """
     order = [F.col(k).asc() for k in order_by]
-    largest = _largest_group(df, group_by)
-    if largest <= rows_per_task:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*group_by).orderBy(*order)).cast("long"))
-    cuts = _cut_points(df, order_by, _slice_count(df, largest, rows_per_task))
-    sliced = df.withColumn("_slice", _slice_of(order_by, cuts))
+    sliced = df.withColumn("_slice", default_slice(df, order_by[0]) if slice_by is None else slice_by)
     counts = sliced.groupBy(*group_by, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*group_by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -77,7 +46,7 @@ def number_rows(
         F.col("_slice").alias("_of_slice"),
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
     )
-    match = [F.col("_slice") == F.col("_of_slice")]
+    match = [F.col("_slice").eqNullSafe(F.col("_of_slice"))]
     match += [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group_by]
     place = F.row_number().over(Window.partitionBy(*group_by, "_slice").orderBy(*order))
     return (

@@ -370,9 +370,15 @@ def one_spelling(category: Column, categories: Sequence[str]) -> Column:
     return F.coalesce(F.try_element_at(spellings, F.lower(F.rtrim(category))), F.rtrim(category))
 
 
+def listed(category: Column, categories: Sequence[str]) -> Column:
+    """True; a run fails on a category that is not in the list, whose amounts the pivot would drop."""
+    known = category.isNull() | category.isin(list(categories))
+    return F.assert_true(known, F.concat(F.lit("category without a column: "), category)).isNull()
+
+
 def known_categories(f: Franchise) -> list[str]:
     """The fixed categories plus those named in the fee-category enumeration, without doubles in another spelling."""
-    names = [row[0].strip(" ") for row in f.fee_category.select("Name").filter("Name is not null").distinct().collect()]
+    names = [row[0] for row in f.fee_category.select(F.rtrim("Name").alias("Name")).filter("Name is not null").distinct().collect()]
     found = {c.lower(): c for c in reversed((*CATEGORIES, *sorted(names), *sorted(n + "adj" for n in names)))}
     return sorted(found.values())
 
@@ -420,7 +426,8 @@ def franchise_fee_report(
 
     `PastAccrualBalance` is cut off at the report date and `CurrentAccrualBalance` a month earlier, as in the source,
     though the names suggest the reverse. Stores missing from the store detail are left out, and a store with several
-    clubs counts its amounts once per club. Categories default to the fixed ones and the fee-category enumeration.
+    clubs counts its amounts once per club. Categories default to the fixed ones and the fee-category enumeration;
+    a staged category that is not among them is an error, so no amount is lost.
     """
     categories = known_categories(f) if categories is None else categories
     ids = ["CoreId", "CoreTypeId", "Location", "ExternalStoreId", "CollectionsBy", "ClubState"]
@@ -429,6 +436,7 @@ def franchise_fee_report(
         .withColumn("Category", one_spelling(F.col("Category"), categories))
         .groupBy(*ids, "Category")
         .agg(F.sum(zero_if_null(F.col("Amount"))).alias("Amount"))
+        .filter(listed(F.col("Category"), categories))
     )
     detail = f.store_detail.select(F.col("StoreId").alias("detail_store"), "ChainName", "ChainId")
     clubs = f.cas_clubs.select(F.col("StoreID").alias("club_store"))

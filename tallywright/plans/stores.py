@@ -321,6 +321,31 @@ def accrual_cutoff(mode: int | None, today: dt.date, end: dt.date) -> tuple[dt.d
     return (end + dt.timedelta(days=1) if mode == 2 else today), mode in (1, 2)
 
 
+def management_financials(
+    dimension: DataFrame,
+    remit_adjustments: DataFrame,
+    cas_reconcile: DataFrame,
+    payments: DataFrame,
+    today: dt.date,
+    start: dt.date,
+    end: dt.date,
+    period: int,
+    columns: str = "all",
+    accrual_mode: int | None = None,
+) -> DataFrame:
+    """The chain of the management report: store dimension, without the hidden site type and, by accrual mode, without
+    stores of non-positive balance, then the transactions of the stores that are left."""
+    cutoff, only_positive = accrual_cutoff(accrual_mode, today, end)
+    kept = with_accrual_balance(dimension, remit_adjustments, cas_reconcile, cutoff, only_positive)
+    return store_period_transactions(payments, kept, start, end, period, columns)
+
+
+def checked_offset(hours: Column) -> Column:
+    """Hours of a store's offset; a run fails on two days or more, for which the payments read would not do."""
+    far = F.raise_error(F.concat(F.lit("offset of two days or more: "), hours.cast("string"))).cast("int")
+    return F.when(F.abs(hours) >= 48, far).otherwise(hours)
+
+
 def store_period_transactions(
     payments: DataFrame,
     stores: DataFrame,
@@ -331,8 +356,8 @@ def store_period_transactions(
 ) -> DataFrame:
     """Amount and count per store, period of the store-local time and tender, for whole local days start to end.
 
-    Offsets are whole hours (less than two days) and the range is whole days, so payments are added up per store, tender and clock hour
-    before the store's offset is looked up; a store with very many payments is small by then.
+    Offsets are whole hours, less than two days (checked), and the range is whole days, so payments are added up per
+    store, tender and clock hour before the store's offset is looked up; a store with very many payments is small by then.
     """
     wide_start, wide_end = start - dt.timedelta(days=2), end + dt.timedelta(days=3)
     hourly = (
@@ -355,7 +380,7 @@ def store_period_transactions(
         )
     )
     offsets = stores.select(F.col("StoreId").alias("StoreID"), "TimeOffset")
-    local = dates.shifted_hours(F.col("paid_hour"), F.col("TimeOffset"))
+    local = dates.shifted_hours(F.col("paid_hour"), checked_offset(F.col("TimeOffset")))
     return (
         hourly.join(offsets, F.col("paid_store") == F.col("StoreID"))
         .withColumn("local_time", local)

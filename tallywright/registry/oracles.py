@@ -457,12 +457,14 @@ add(
 )
 
 
-def _period_sql(period: int, tenders: str) -> str:
+def _period_sql(period: int, tenders: str, cutoff: str = "") -> str:
+    balance = f"and coalesce({_accrual(cutoff)}, 0) > 0" if cutoff else ""
     return f"""
 with local_payments as (
     select m.*, m.PaymentDate + to_hours(p.TimeOffset) as local
     from payments m join stores o on o.StoreID = m.StoreID left join general_prefs p on p.StoreID = o.StoreID
-    where {_statuses} and {tenders}
+        left join store_info i on i.StoreId = o.StoreID
+    where {_statuses} and {tenders} and (i.SiteTypeId <> 4 or i.SiteTypeId is null) {balance}
 )
 select StoreID as "StoreID", {PERIOD_LABELS[period]} as "PeriodDisplay",
     case PurchaseWith when 1 then 'CC Txn' when 6 then 'eCheck Txn' else 'Other Txn' end as "TransactionCategory",
@@ -476,6 +478,8 @@ group by all
 
 
 add("store_period_transactions", _period_sql(1, "true"))
+add("management_financials_today", _period_sql(2, "true", f"date '{s.TODAY}'"))
+add("management_financials_end", _period_sql(2, "true", f"date '{s.END}' + 1"))
 add("store_month_transactions", _period_sql(2, "m.PurchaseWith in (1, 6)"))
 add("store_quarter_transactions", _period_sql(3, "m.PurchaseWith = 1"))
 add("store_year_transactions", _period_sql(4, "m.PurchaseWith = 6"))

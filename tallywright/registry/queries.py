@@ -151,9 +151,22 @@ def store_accrual_positive(t):
     return kept.select("StoreId", "SiteTypeId", "AccrualBalance")
 
 
-def _period(t: LogicalTables, period: int, columns: str) -> DataFrame:
+def _period(t: LogicalTables, period: int, columns: str, accrual_mode: int | None = None) -> DataFrame:
     dimension = stores.stores_by_remit_group(_back_office(t))
-    return stores.store_period_transactions(t.payments, dimension, s.START, s.END, period, columns)
+    accruals = (t.remit_adjustments, t.cas_reconcile)
+    return stores.management_financials(
+        dimension, *accruals, t.payments, s.TODAY, s.START, s.END, period, columns, accrual_mode
+    )
+
+
+@query
+def management_financials_today(t):
+    return _period(t, dates.PERIOD_MONTH, "all", accrual_mode=1)
+
+
+@query
+def management_financials_end(t):
+    return _period(t, dates.PERIOD_MONTH, "all", accrual_mode=2)
 
 
 @query
@@ -555,7 +568,7 @@ def win_row_number(t):
 @query
 def win_row_number_grouped(t):
     rows = t.txn.select("merchant_id", "created_at", "id")
-    numbered = number_rows(rows, ["created_at", "id"], ["merchant_id"], "place", rows_per_task=20)
+    numbered = number_rows(rows, ["created_at", "id"], ["merchant_id"], "place")
     return numbered.select("id", "place")
 
 

@@ -55,7 +55,7 @@ VIEWS: dict[str, str] = {
     "fee_profile": """
         select concat('fp_',c_custkey) id, date '2024-01-01' start_date, nullif(date '2024-12-31',date '2024-12-31') end_date,
         concat('{"defaultAchFees":{"buyerPct":"',c_custkey % 5,'.25","merchantPct":"1.10","buyerFixedFee":"0.30"},"disputeFixedFee":"15","networkSpecificFees":',
-        case c_custkey % 3 when 0 then '{}' when 1 then '{"Visa":{"buyerPct":"2.5","interChangePlus":"true"}}' else '{"American Express":{"buyerPct":"3.5","merchantPct":"n/a"},"Visa":{"buyerPct":"1"}}' end,'}') configuration from customer where c_custkey<40
+        case c_custkey % 3 when 0 then '{}' when 1 then '{"Visa":{"buyerPct":"2.5","interChangePlus":"true"}}' else '{"American Express":{"buyerPct":"3.5","merchantPct":"n/a"},"Visa":{"buyerPct":"1"}}' end,'}') configuration from customer where c_custkey % 40 <> 0
     """,
     "ledger_transaction": """
         select concat('mer_',o_custkey) merchant_entity_id, cast(l_shipdate as date) activity_date, cast(l_extendedprice as decimal(18,2)) settlement_amount, cast(l_quantity*0.25 as decimal(18,2)) interchange_amount,
@@ -98,13 +98,13 @@ VIEWS: dict[str, str] = {
         case o_orderkey % 6 when 0 then concat('$',o_orderkey % 900,',',100+o_orderkey % 900,'.50') when 1 then concat(o_orderkey % 900,'..75') when 2 then '' when 3 then nullif('x','x') else concat(o_orderkey % 900,'') end as TotalAmount, concat(o_orderkey % 50,'.25') as Amount from orders
     """,
     "contract": """
-        select concat('con_',c_custkey) as id, concat('fp_',c_custkey % 40) as fee_profile_id from customer
+        select concat('con_',c_custkey) as id, concat('fp_',c_custkey) as fee_profile_id from customer
     """,
     "merchant": """
         select concat('mer_',c_custkey) as id, concat('MID',100000+c_custkey) as mid from customer
     """,
     "merchant_fee_profile": """
-        select concat('mer_',c_custkey) as merchant_id, concat('fp_',c_custkey % 40) as fee_profile_id, cast(c_custkey % 2 as int) as is_active from customer where c_custkey % 7 <> 0
+        select concat('mer_',c_custkey) as merchant_id, concat('fp_',c_custkey) as fee_profile_id, cast(c_custkey % 2 as int) as is_active from customer where c_custkey % 7 <> 0
     """,
     "general_prefs": """
         select s_suppkey as StoreID, concat(case s_suppkey % 6 when 0 then 'BRAND_A ' when 1 then 'BRAND_D ' when 2 then 'BRAND_R ' when 3 then 'brand_p ' else 'Club ' end, s_name) as LocationName, case s_suppkey % 4 when 0 then 'CA' when 3 then nullif('x','x') else 'US' end as clubcountry, case s_suppkey % 5 when 0 then 'Kentucky' when 1 then 'Texas' when 2 then 'BC' when 3 then '' else 'FL' end as ClubState, concat(s_suppkey,' Main St ') as ClubAddress, 'Town' as ClubCity, concat(10000+s_suppkey,'') as ClubZip, cast(0 - (s_suppkey % 9) as int) as TimeOffset from supplier where s_suppkey % 20 <> 19

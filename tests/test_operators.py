@@ -76,7 +76,7 @@ def test_number_rows_in_slices(spark):
         F.when(F.col("id") % 7 == 0, F.lit(None).cast("long")).otherwise(F.col("id") * 37 % 101).alias("o"),
         "id",
     )
-    sliced = number_rows(df, ["o", "id"], ["g"], "n", rows_per_task=10)
+    sliced = number_rows(df, ["o", "id"], ["g"], "n", F.floor(F.col("o") / 2))
     plain = number_rows(df, ["o", "id"], ["g"], "n")
     assert "_slice" in sliced._jdf.queryExecution().optimizedPlan().toString()
     assert rows(sliced.select("g", "o", "id", "n")) == rows(plain.select("g", "o", "id", "n"))
@@ -85,7 +85,7 @@ def test_number_rows_in_slices(spark):
 
 def test_number_rows_over_everything(spark):
     df = spark.range(500).select((F.col("id") * 7 % 500).alias("k"))
-    found = number_rows(df, ["k"], name="n", rows_per_task=20).collect()
+    found = number_rows(df, ["k"], name="n", slice_by=F.floor(F.col("k") / 7)).collect()
     assert all(r.n == r.k + 1 for r in found) and len(found) == 500
     assert number_rows(df.limit(0), ["k"]).count() == 0
 

@@ -5,8 +5,7 @@ import pytest
 from tests.oracle_check import differences, duck
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from tallywright.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")

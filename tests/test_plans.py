@@ -5,9 +5,7 @@ import re
 import pytest
 from pyspark.sql import SparkSession
 
-import __spark_entry__ as entry
-
-QUERIES = entry.queries()
+from tallywright.registry import QUERIES
 
 
 def physical(df) -> str:
@@ -65,6 +63,18 @@ def test_null_rejected_left_joins_become_inner(spark, sf_dir):
     assert "LeftOuter" not in optimized(QUERIES["join_left_null_reject"](spark, sf_dir))
 
 
-def test_period_filter_reaches_the_payments_scan(spark, sf_dir):
+@pytest.mark.parametrize(
+    "name", ["win_row_number", "win_row_number_grouped", "batch_number", "insert_append", "statement_batches", "statement_pack"]
+)
+def test_no_job_while_a_plan_is_built(spark, sf_dir, name):
+    QUERIES[name](spark, sf_dir)  # schemas of the files are read the first time
+    spark.sparkContext.setJobGroup(f"building {name}", name)
+    QUERIES[name](spark, sf_dir)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"building {name}")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0
+
+
+def test_payments_are_scanned_once(spark, sf_dir):
     plan = physical(QUERIES["store_quarter_transactions"](spark, sf_dir))
     assert len(re.findall(r"orders\.parquet", plan)) == 1
