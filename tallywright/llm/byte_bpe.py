@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MOST_PAIRS = 500_000
-MOST_PIECES = 200_000
+#: In each of two generations, of about 250 bytes a piece.
+MOST_PIECES = 400_000
 #: Longer matches are encoded each time instead of being remembered.
 LONGEST_REMEMBERED = 64
 IDS_AT_ONCE = 4096
@@ -292,4 +293,4 @@ def _list_array(lists: list[bytes]) -> pa.Array:
 def _chunks(row: pa.ListScalar) -> Iterator[list[int]]:
     if row.is_valid:
         for at in range(0, len(row.values), IDS_AT_ONCE):
-            yield row.values[at : at + IDS_AT_ONCE].to_pylist()
+            yield row.values[at : at + IDS_AT_ONCE].to_numpy(zero_copy_only=False).tolist()
