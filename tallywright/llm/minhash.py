@@ -12,7 +12,8 @@ again from the texts, in three steps, each of which only looks at what the links
 2. in bands whose texts are still in several components: each text with the smallest id of the band,
 3. in bands still divided after that: texts of different components with each other, in blocks of `block` texts. A task
    holds two blocks of texts that share a smallest id, compares signatures, then full sets, and returns only links that
-   join components; a text is sent once for each block of its band, never once for each other text.
+   join components; a text is sent once for each block of its band, never once for each other text. Texts of a band's
+   most frequent component have blocks of their own, which only meet the blocks of the rest.
 So a band full of texts that are all linked to one of them costs one check a text, and no pair within it is ever a row;
 yet any two candidates that would join two components are checked. (In step 3 sets are compared if their signatures agree
 in a share of coordinates at most five standard deviations below the wanted similarity.)
@@ -205,13 +206,25 @@ def _to_least(divided: DataFrame, texts: DataFrame, plan: MinHash) -> DataFrame:
 
 
 def _across(divided: DataFrame, texts: DataFrame, plan: MinHash) -> DataFrame:
+    """Blocks of a lead's most frequent component are numbered after the others and never meet each other: nothing within
+    them can join components. A lead whose texts fit one block has just that."""
     least = divided.groupBy("band").agg(F.min("id").alias("lead"))
     members = divided.join(least, "band").groupBy("lead", "id").agg(F.min("component").alias("component"))
-    blocks = members.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / plan.block).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "lead").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sizes = members.groupBy("lead", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("lead").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("main"))
+    small = F.col("all") <= plan.block
+    blocks = sizes.select(
+        "lead",
+        F.col("main.component").alias("main"),
+        F.when(small, 1).otherwise(F.ceil((F.col("all") - F.col("main.n")) / plan.block)).cast("int").alias("others"),
+        F.when(small, 0).otherwise(F.ceil(F.col("main.n") / plan.block)).cast("int").alias("mains"),
+    )
+    dealt = members.join(blocks, "lead").withColumn("in_main", F.expr("component = main and mains > 0"))
+    dealt = dealt.withColumn("number", F.xxhash64("id"))
+    dealt = dealt.withColumn("block", F.expr("cast(if(in_main, others + pmod(number, mains), pmod(number, others)) as int)"))
+    dealt = dealt.withColumn("meets", F.expr("explode(sequence(0, if(in_main, others, others + mains) - 1))"))
     dealt = dealt.select(
-        "lead", "id", "component", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")
+        "lead", "id", "component", "block", F.least("block", "meets").alias("one"), F.greatest("block", "meets").alias("two")
     )
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -220,24 +233,55 @@ def _across(divided: DataFrame, texts: DataFrame, plan: MinHash) -> DataFrame:
     return dealt.join(texts, "id").groupBy("lead", "one", "two").applyInPandas(compare, "u long, v long")
 
 
+#: A text is in several pairs of blocks: a worker keeps the sets and signatures of this many texts of at most so many characters.
+RECENT_TEXTS = 2048
+RECENT_LENGTH = 8192
+
+
+def _set_and_signature(text: str, plan: MinHash) -> tuple[np.ndarray, np.ndarray]:
+    hashes = shingles(text, plan.shingle)
+    return hashes, signature_of(hashes, plan)
+
+
+_recent = lru_cache(maxsize=RECENT_TEXTS)(_set_and_signature)
+
+
 def _joining(rows: pd.DataFrame, between: bool, plan: MinHash) -> list[tuple[int, int]]:
     """Links that join components, among the rows of one block or between those of two."""
+    component = rows["component"].to_numpy().copy()
+    if (component == component[0]).all():
+        return []
     ids, block = rows["id"].tolist(), rows["block"].to_numpy()
-    sets = [shingles(t, plan.shingle) for t in rows["text"]]
-    signatures = np.stack([signature_of(s, plan) for s in sets])
-    sizes, component = np.array([len(s) for s in sets]), rows["component"].to_numpy().copy()
+    known = [(_recent if len(t) <= RECENT_LENGTH else _set_and_signature)(t, plan) for t in rows["text"]]
+    sets, signatures = [s for s, _ in known], np.stack([s for _, s in known])
+    sizes = np.array([len(s) for s in sets])
     share = plan.similar / 100
     close = (share - 5 * (share * (1 - share) / signatures.shape[1]) ** 0.5) * signatures.shape[1]
     links = []
-    for k in range(len(ids) - 1):
-        fits = component[k + 1 :] != component[k]
+    # shingles as small numbers, so that one text's set is counted in all its candidates' sets at once
+    ends = np.cumsum(sizes)
+    distinct, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    numbered, present = np.split(numbers, ends[:-1]), np.zeros(len(distinct), bool)
+    first = block == block[0]
+    if between and 2 * first.sum() > len(ids):  # the smaller block's texts look for partners in the other
+        first = ~first
+    for k in np.flatnonzero(first).tolist() if between else range(len(ids) - 1):
+        fits = component != component[k]
         if between:
-            fits &= block[k + 1 :] != block[k]
-        fits &= 100 * np.minimum(sizes[k + 1 :], sizes[k]) >= plan.similar * np.maximum(sizes[k + 1 :], sizes[k])
-        others = np.flatnonzero(fits) + k + 1
+            fits &= ~first
+        else:
+            fits[:k] = False
+        fits &= 100 * np.minimum(sizes, sizes[k]) >= plan.similar * np.maximum(sizes, sizes[k])
+        others = np.flatnonzero(fits)
         others = others[(signatures[others] == signatures[k]).sum(axis=1) >= close]
-        for j in others.tolist():
-            if component[j] != component[k] and _linked(sets[k], sets[j], plan.similar):
+        if not len(others):
+            continue
+        present[numbered[k]] = True
+        starts = np.cumsum(sizes[others]) - sizes[others]
+        common = np.add.reduceat(present[np.concatenate([numbered[j] for j in others.tolist()])], starts, dtype=np.int64)
+        present[numbered[k]] = False
+        for j in others[100 * common >= plan.similar * (sizes[others] + sizes[k] - common)].tolist():
+            if component[j] != component[k]:
                 links.append((ids[k], ids[j]))
                 component[component == component[j]] = component[k]
     return links
