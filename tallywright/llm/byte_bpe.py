@@ -23,6 +23,7 @@ import base64
 import codecs
 import struct
 from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,9 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MOST_PAIRS = 500_000
+MOST_PAIRS = 300_000
 #: In each of two generations, of about 250 bytes a piece.
-MOST_PIECES = 400_000
+MOST_PIECES = 150_000
 #: Longer matches are encoded each time instead of being remembered.
 LONGEST_REMEMBERED = 64
 IDS_AT_ONCE = 4096
@@ -212,11 +213,16 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.transducer = Transducer(ranks)
+        self.token = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    @cached_property
+    def transducer(self) -> Transducer:
+        """Made by the first encoding; workers that only decode do without."""
+        return Transducer(self.ranks)
+
     def piece(self, text: str) -> bytes:
         """Ids of one match; those used since the memory was last full are kept when it is full again."""
         ids = self.older.get(text)
@@ -237,7 +243,7 @@ class Codec:
 
     def decode(self, chunks: Iterable[list[int]]) -> Iterator[str]:
         utf8 = codecs.getincrementaldecoder("utf-8")("replace")
-        token = self.transducer.merges.bytes_of
+        token = self.token
         for ids in chunks:
             yield utf8.decode(b"".join([token[i] for i in ids]))
         yield utf8.decode(b"", True)
