@@ -38,6 +38,7 @@ MOST_PIECES = 150_000
 #: Longer matches are encoded each time instead of being remembered.
 LONGEST_REMEMBERED = 64
 IDS_AT_ONCE = 4096
+ROWS_AT_ONCE = 256
 LOOKAHEAD = 2048
 NO_TOKEN = -1
 TOKEN_BITS = 32
@@ -273,12 +274,14 @@ def functions(spark: SparkSession, vocabulary: str, pattern: str) -> tuple[Calla
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = codec(shared.value, pattern)
         for texts in batches:
-            yield _list_array([work.encode(text.as_py()) for text in texts])
+            for part in _parts(texts):
+                yield _list_array([work.encode(text.as_py()) for text in part])
 
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = codec(shared.value, pattern)
         for rows in batches:
-            yield pa.array(["".join(work.decode(_chunks(row))) for row in rows], pa.string())
+            for part in _parts(rows):
+                yield pa.array(["".join(work.decode(_chunks(row))) for row in part], pa.string())
 
     for f in (encode, decode):
         f.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -296,6 +299,12 @@ def _list_array(lists: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
+def _parts(rows: pa.Array) -> Iterator[pa.Array]:
+    """A batch in parts of few rows, so that a worker never holds the results of a whole batch."""
+    for at in range(0, len(rows), ROWS_AT_ONCE):
+        yield rows.slice(at, ROWS_AT_ONCE)
+
+
 def _chunks(row: pa.ListScalar) -> Iterator[list[int]]:
     if row.is_valid:
         for at in range(0, len(row.values), IDS_AT_ONCE):
