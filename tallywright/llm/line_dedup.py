@@ -12,6 +12,12 @@ third of all documents share is counted on the map side and joined in joins that
 Defined results: a null text stays null and has no lines; an empty text is one empty line and stays. A text of which all
 is removed becomes empty; no document is dropped. Rows that share a key are taken for one document: what repeats only
 among them stays. Extra columns stay; names beginning with `_ld_` are reserved.
+
+Chunks alone lose passages: the lines at a passage's ends share a chunk with lines around it, and a chunk of one line does
+not count. `deduplicated` keeps this result, which the SQL of op10_line_chunks defines. `without_passages`, which the
+pipeline uses, looks at the rolling hash after every line: each window of `least` neighbouring lines that occurs earlier
+(smaller key, then place) is removed, so a repeated passage of `least` lines or more goes whole, wherever it is cut. The
+first occurrence of every line stays. Rows without a key are taken for one document there.
 """
 
 from __future__ import annotations
@@ -97,3 +103,55 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", chunking: Chunking = Chun
         }
     )
     return rows.drop("_ld_by", "_ld_gone", "_ld_chunks", "_ld_kept")
+
+
+def _windows(docs: DataFrame, chunking: Chunking) -> DataFrame:
+    """docs with `_ld_lines` and `_ld_windows`: the digests of all windows of `least` lines, in order."""
+    rolled = f"unhex(md5(cast(array_join(slice(_ld_hashes, i, {chunking.least}), '') as binary)))"
+    last = f"size(_ld_lines) - {chunking.least - 1}"
+    rows = _computed(docs, _ld_lines=F.split("text", "\n", -1))
+    rows = _computed(rows, _ld_hashes=F.expr("transform(_ld_lines, l -> md5(cast(l as binary)))"))
+    windows = F.expr(f"if({last} >= 1, transform(sequence(1, greatest({last}, 1)), i -> {rolled}), array())")
+    return _computed(rows, _ld_windows=windows).drop("_ld_hashes")
+
+
+def repeated_windows(docs: DataFrame, key: str = "doc_id", chunking: Chunking = Chunking()) -> DataFrame:
+    """One row per document that has windows to remove: `_ld_by` and `_ld_gone`, their first lines (from 1) and the
+    originals' text."""
+    rows = docs.select(F.col(f"`{key}`").alias("_ld_key"), "text")
+    places = _windows(rows, chunking).select("_ld_key", F.posexplode("_ld_windows").alias("_ld_at", "_ld_digest"))
+    place = F.struct("_ld_key", "_ld_at")
+    firsts = places.groupBy("_ld_digest").agg(
+        F.min(place).alias("_ld_first"), F.max(place).alias("_ld_last")
+    ).where(F.col("_ld_first") != F.col("_ld_last"))
+    copies = places.join(firsts, "_ld_digest").where(place != F.col("_ld_first")).select("_ld_digest", "_ld_key", "_ld_at")
+    wanted = firsts.groupBy(F.col("_ld_first._ld_key").alias("_ld_of")).agg(F.collect_set("_ld_first._ld_at").alias("_ld_these"))
+    sources = _windows(rows.join(wanted, F.col("_ld_key").eqNullSafe(F.col("_ld_of"))), chunking)
+    text = f"array_join(slice(_ld_lines, at + 1, {chunking.least}), '\n')"
+    found = f"transform(filter(_ld_these, at -> at < size(_ld_windows)), at -> named_struct('d', _ld_windows[at], 'text', {text}))"
+    originals = sources.select(F.explode(F.expr(found)).alias("_ld_o")).groupBy(F.col("_ld_o.d").alias("_ld_digest"))
+    gone = copies.join(originals.agg(F.first("_ld_o.text").alias("_ld_text")), "_ld_digest")
+    return gone.groupBy(F.col("_ld_key").alias("_ld_by")).agg(
+        F.collect_set(F.struct((F.col("_ld_at") + 1).alias("at"), F.col("_ld_text").alias("text"))).alias("_ld_gone")
+    )
+
+
+def without_passages(docs: DataFrame, key: str = "doc_id", chunking: Chunking = Chunking()) -> DataFrame:
+    """docs with the remaining text, and `n_lines` and `n_removed_lines`."""
+    gone = repeated_windows(docs, key, chunking)
+    rows = docs.drop("n_lines", "n_removed_lines").join(gone, F.col(f"`{key}`").eqNullSafe(F.col("_ld_by")), "left")
+    rows = _computed(rows, _ld_lines=F.split("text", "\n", -1))
+    width = chunking.least
+    same = f"array_join(slice(_ld_lines, g.at, {width}), '\n') = g.text"  # the comparison of bytes
+    hit = f"flatten(transform(filter(_ld_gone, g -> {same}), g -> sequence(g.at, g.at + {width - 1})))"
+    left = f"transform(array_except(sequence(1, size(_ld_lines)), {hit}), i -> _ld_lines[i - 1])"
+    rows = _computed(rows, _ld_kept=F.expr(f"if(_ld_gone is null or text is null, _ld_lines, {left})"))
+    size = lambda lines: F.coalesce(F.when(F.col(lines).isNotNull(), F.size(lines)), F.lit(0)).cast("long")
+    rows = rows.withColumns(
+        {
+            "n_lines": size("_ld_lines"),
+            "n_removed_lines": size("_ld_lines") - size("_ld_kept"),
+            "text": F.array_join("_ld_kept", "\n"),
+        }
+    )
+    return rows.drop("_ld_by", "_ld_gone", "_ld_lines", "_ld_kept")
