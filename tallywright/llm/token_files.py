@@ -3,8 +3,9 @@
 A token file is a sequence of frames: the payload's length (u64), its masked check sum (u32), the payload, the payload's
 masked check sum (u32), all little-endian. The check sum is CRC-32C; masked means turned right by 15 bits plus a constant,
 so that check sums of data that hold check sums stay useful. A payload is the document's id (i64), a word of flags (u32, bit
-0: the id is known) and its token ids (u32 each). The index beside a file has two u64 for each record: the place of its frame
-and the tokens of the file before it; a last entry gives the file's size and tokens.
+0: the id is known; bit 1: ids of two bytes) and its token ids, u16 each if all of them fit and u32 otherwise. The index
+beside a file has two u64 for each record: the place of its frame and the tokens of the file before it; a last entry gives
+the file's size and tokens.
 
 Writing: rows are range-partitioned by (id, text hash, row number) - so rows that share an id, even equal rows, spread over
 tasks - sorted in their task, encoded word by word and written to files that a task closes at a size. File names are used by
@@ -22,6 +23,8 @@ no rows are read. Other columns of the input are not used, whatever their names.
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -33,7 +36,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import new_path, written
-from .words import blank_separated
 
 #: Fixed values of the check sum: the reflected CRC-32C polynomial, and the number added when it is masked.
 POLYNOMIAL, MASK = 0x82F63B78, 0xA282EAD8
@@ -41,9 +43,20 @@ BLOCK = 1024
 #: Bytes of the vocabulary file that may be broadcast.
 LARGEST = 64 << 20
 ROWS_AT_ONCE = 256
-MOST_WORDS = 150_000
+MOST_PARTS = 200_000
 LONGEST_REMEMBERED = 64
 
+#: The normaliser and the pattern of the vocabularies that can be encoded by words.
+SUPPORTED = (
+    ["NFC", "Replace", "Lowercase"],
+    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+)
+#: The same pattern for lower-case words of characters below U+0250, and what is beyond.
+LETTERS, NUMBERS, SPACES = "a-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼½¾", "\x09-\x0d\x20\x85\xa0"
+MATCHES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}{SPACES}]+")
+WORDS = re.compile("[^\x09-\x0d\x20]+")
+BEYOND = "[\u0250-\U0010ffff]"
+
 HEAD = np.dtype([("doc_id", "<i8"), ("flags", "<u4")])
 FRAME_BYTES = 16
 MANIFEST = "folder string, path string, part int, no int, records long, tokens long, bytes long"
@@ -103,38 +116,87 @@ class Checksum:
 
 
 class Encoder:
-    """Ids of texts through the tokenizers library, which sees every distinct word once while the word is remembered."""
+    """Ids of texts through the tokenizers library, which sees each match of the pattern once while it is remembered."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_str(vocabulary)
-        self.words: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[list[bytes]]) -> dict[bytes, bytes]:
-        """Ids of the words that are not in memory; those too long to be remembered are returned."""
-        unknown, passing = {word for row in words for word in row if word not in self.words}, {}
-        for word in [word for word in unknown if word in self.older]:
-            self.words[word] = self.older[word]
-            unknown.discard(word)
-        for at in range(0, len(new := list(unknown)), 4096):
-            part = new[at : at + 4096]
-            found = self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for word, encoding in zip(part, found):
-                kept = self.words if len(word) <= LONGEST_REMEMBERED else passing
-                kept[word] = np.array(encoding.ids, "<u4").tobytes()
-        return passing
+        check_supported(vocabulary)
+        self.library, parts = Tokenizer.from_str(vocabulary), json.loads(vocabulary)
+        odd = [re.escape(token["content"]) for token in parts["added_tokens"]]
+        self.odd = re.compile("|".join([BEYOND, *odd]))
+        names = self.library.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[k for name, k in names.items() if name.endswith(parts["model"]["end_of_word_suffix"])]] = True
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _each(self, parts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(parts, add_special_tokens=False)
+        return [np.array(encoding.ids, "<u4").tobytes() for encoding in found]
+
+    def _together(self, parts: list[str]) -> list[bytes]:
+        """Ids of single matches, encoded as one text and parted after the tokens that end a word."""
+        ids = np.array(self.library.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(stops) != len(parts):
+            return self._each(parts)
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip([0, *stops], stops)]
+
+    def _parts(self, text: str) -> list[str]:
+        """Matches of a text; words that hold what is beyond the pattern here stand as they are."""
+        if not self.odd.search(text):
+            return MATCHES.findall(text.lower())
+        parts = []
+        for word in WORDS.findall(text):
+            parts += [word] if self.odd.search(word) else MATCHES.findall(word.lower())
+        return parts
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.words) > MOST_WORDS:
-            self.words, self.older = {}, self.words
-        words = [blank_separated(text) for text in texts]
-        passing = self._learn(words)
-        known = self.words
-        if passing:
-            return [b"".join([known[w] if w in known else passing[w] for w in row]) for row in words]
-        return [b"".join([known[w] for w in row]) for row in words]
+        """Ids of each text, u32."""
+        if len(self.known) > MOST_PARTS:
+            self.known, self.older = {}, self.known
+        rows, known, older = [self._parts(text or "") for text in texts], self.known, self.older
+        new = []
+        for part in set().union(*rows).difference(known):
+            if part in older:
+                known[part] = older[part]
+            else:
+                new.append(part)
+        odd = [part for part in new if self.odd.search(part)]
+        known.update(zip(odd, self._each(odd)))
+        plain = [part for part in new if part not in known]
+        for at in range(0, len(plain), 1024):
+            known.update(zip(plain[at : at + 1024], self._together(plain[at : at + 1024])))
+        encoded = [b"".join([known[part] for part in row]) for row in rows]
+        for part in new:
+            if len(part) > LONGEST_REMEMBERED:
+                del known[part]
+        return encoded
+
+
+def check_supported(vocabulary: str) -> None:
+    parts = json.loads(vocabulary)
+    normaliser, splitter = parts["normalizer"] or {}, (parts["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    kinds = [part["type"] for part in normaliser.get("normalizers", [])]
+    first = splitter[0]
+    pattern = first.get("pattern", {}).get("Regex")
+    suffix = parts["model"].get("end_of_word_suffix")
+    if not suffix or (kinds, pattern) != SUPPORTED or not (first["invert"] and first["behavior"] == "Removed"):
+        raise ValueError("this vocabulary can't be encoded word by word")
+
+
+_encoders: dict[int, Encoder] = {}
+
+
+def encoder_of(vocabulary: str) -> Encoder:
+    """One per Python worker and vocabulary, so that tasks share what it remembers."""
+    key = hash(vocabulary)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(vocabulary)
+    return _encoders[key]
 
 
 def write_files(
@@ -147,6 +209,7 @@ def write_files(
         lines = file.read(LARGEST + 1)
     if len(lines) > LARGEST:
         raise ValueError(f"{vocabulary} has more than {LARGEST} bytes")
+    check_supported(lines.decode())
     shared, folder, end = spark.sparkContext.broadcast(lines), new_path(spark, "tokens"), np.array([end_id], "<u4").tobytes()
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.select("doc_id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
@@ -154,7 +217,7 @@ def write_files(
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, done = Encoder(shared.value.decode()), TaskContext.get().partitionId(), []
+        encoder, part, done = encoder_of(shared.value.decode()), TaskContext.get().partitionId(), []
         out = None
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
@@ -202,11 +265,13 @@ class TokenFile:
         self.index.write(np.array([self.size, self.tokens], "<u8").tobytes())
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        head = np.array([(doc_id or 0, doc_id is not None)], HEAD).tobytes()
-        frame = checksum().framed(head + ids)
+        numbers = np.frombuffer(ids, "<u4")
+        short = bool(numbers.max(initial=0) < 1 << 16)
+        head = np.array([(doc_id or 0, (doc_id is not None) | short << 1)], HEAD).tobytes()
+        frame = checksum().framed(head + (numbers.astype("<u2").tobytes() if short else ids))
         self._mark()
         self.frames.write(frame)
-        self.records, self.size, self.tokens = self.records + 1, self.size + len(frame), self.tokens + len(ids) // 4
+        self.records, self.size, self.tokens = self.records + 1, self.size + len(frame), self.tokens + len(numbers)
 
     def close(self) -> tuple[int, int, int]:
         self._mark()
@@ -249,10 +314,13 @@ class Reader:
         entries = self.entries(first, end)
         for number, ((place, before), (after, tokens)) in enumerate(zip(entries, entries[1:]), first):
             payload = checksum().payload(self.frames.read_at(after - place, place))
-            if payload is None or len(payload) - HEAD.itemsize != 4 * (tokens - before):
+            if payload is None or len(payload) < HEAD.itemsize:
                 raise ValueError(f"record {number} of {self.path} is damaged")
             doc_id, flags = np.frombuffer(payload, HEAD, 1)[0].tolist()
-            yield doc_id if flags & 1 else None, before, payload[HEAD.itemsize :]
+            ids = np.frombuffer(payload, "<u2" if flags & 2 else "<u4", offset=HEAD.itemsize)
+            if len(ids) != tokens - before:
+                raise ValueError(f"record {number} of {self.path} has not the tokens of the index")
+            yield doc_id if flags & 1 else None, before, ids.astype("<u4").tobytes()
 
 
 def _batches(rows: Iterator[tuple[int | None, int, bytes]], most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

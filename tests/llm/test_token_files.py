@@ -76,8 +76,8 @@ def test_edges(spark, library, rows, file_bytes, range_bytes):
         start += len(ids)
 
 
-def test_words_forgotten(rows, library, monkeypatch):
-    monkeypatch.setattr(token_files, "MOST_WORDS", 5)
+def test_forgotten_parts(rows, library, monkeypatch):
+    monkeypatch.setattr(token_files, "MOST_PARTS", 5)
     with open(VOCABULARY) as file:
         encoder = token_files.Encoder(file.read())
     for _ in range(3):
