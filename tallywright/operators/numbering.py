@@ -1,60 +1,84 @@
-"""Row numbers, batches and per-group flags that never put a whole group on one task."""
+"""Row numbers, running totals, batches and per-group flags that never put a whole group on one task.
+
+Numbers in an order need to know what stands before a row. The order is cut into at most `SLICES` slices by bounds taken
+from the data: a row's number is its place in its slice plus the rows of its group in earlier slices. The bounds are a sample
+of the whole keys (group, then all order columns), so they follow the data whatever the keys look like: a common head, a
+hot group, a hot first column. They reach the rows as a scalar subquery; no job runs while a plan is built.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+SLICES = 4096
+#: Keys that are sampled for the bounds, on average, and the finest share of them that a hash can express.
+SAMPLED, HASHES = 2 * SLICES, 1 << 40
 
-TEXT_PREFIX = 8
-NUMBERS_PER_SLICE = 100_000
 
+def _key(columns: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c) for c in columns])
 
-def default_slice(df: DataFrame, key: str) -> Column:
-    """A coarser value that rises with the key: the day of a time, the first characters of a text, a hundred thousand
-    numbers. Other types are their own slices."""
-    kind, column = df.schema[key].dataType, F.col(key)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return column.cast("date")
-    if isinstance(kind, T.StringType):
-        return F.substring(column, 1, TEXT_PREFIX)
-    if isinstance(kind, T.NumericType):
-        return F.floor(column / F.lit(NUMBERS_PER_SLICE))
-    return column
 
+def slice_bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: the keys at which slices 1 to `SLICES` - 1 begin, in order.
+
+    A key is sampled if its hash lies under a threshold that follows from the number of different keys, so about `SAMPLED`
+    keys meet in the last step at any size of the data, and the same data always give the same bounds.
+    """
+    keys = df.select(_key(columns).alias("key"), F.pmod(F.xxhash64(*columns), F.lit(HASHES)).alias("hash"))
+    kinds = df.agg(F.approx_count_distinct(F.xxhash64(*columns)).alias("kinds")).scalar()
+    share = F.lit(float(SAMPLED)) * HASHES / F.greatest(kinds, F.lit(1))
+    sample = keys.where(F.col("hash") < share).select("key").distinct().agg(F.sort_array(F.collect_list("key")).alias("sample"))
+    places = F.sequence(F.lit(1), F.lit(SLICES - 1))
+    at = lambda n: F.get("sample", F.floor(n * F.size("sample") / SLICES).cast("int"))
+    return sample.select(F.transform(places, at).alias("bounds"))
 
-def number_rows(
-    df: DataFrame,
-    order_by: Sequence[str],
-    group_by: Sequence[str] = (),
-    name: str = "row_no",
-    slice_by: Column | None = None,
+
+def with_slices(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """The slice of each row: how many bounds its key has reached, found by halving.
+
+    The bounds are one value that all rows refer to; they are dropped before rows are written anywhere.
+    """
+    bounds, step = slice_bounds(df, columns).scalar(), SLICES // 2
+    rows = df.withColumns({"_key": _key(columns), "_bounds": bounds, name: F.lit(0)})
+    while step:
+        reached = F.get("_bounds", F.col(name) + (step - 1)) <= F.col("_key")
+        rows = rows.withColumn(name, F.col(name) + F.when(reached, step).otherwise(0))
+        step //= 2
+    return rows.drop("_key", "_bounds")
+
+
+def running_totals(
+    df: DataFrame, order_by: Sequence[str], totals: Mapping[str, Column], group_by: Sequence[str] = ()
 ) -> DataFrame:
-    """`row_number()` over the order, within each group if groups are given, one plan for every size.
+    """For each name the sum of its column over the group's rows up to and including this one. Nulls count as zero.
 
-    The rows are cut into slices of the order: a row's number is its place within its slice plus the rows of the group in
-    earlier slices, so a group is spread over as many tasks as it has slices. `slice_by` must not fall while the first
-    order key rises; left out, it is `default_slice` of that key. No job runs while the plan is built. `order_by` should
-    tell the rows of a group apart; rows that tie get consecutive numbers in no set order. Nulls come first.
+    Rows are sorted per group and slice; sums per group and slice, of which a group has at most `SLICES`, are added up on
+    their own and joined. `order_by` should tell the rows of a group apart: rows that tie stay in one slice and follow one
+    another in no set order. Nulls come first.
     """
-    order = [F.col(k).asc() for k in order_by]
-    sliced = df.withColumn("_slice", default_slice(df, order_by[0]) if slice_by is None else slice_by)
-    counts = sliced.groupBy(*group_by, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    sliced = with_slices(df, [*group_by, *order_by], "_slice")
+    sliced = sliced.withColumns({f"_of_{n}": F.coalesce(value, F.lit(0)) for n, value in totals.items()})
+    within = Window.partitionBy(*group_by, "_slice").orderBy(*[F.col(k).asc() for k in order_by])
+    within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = sliced.groupBy(*group_by, "_slice").agg(*[F.sum(f"_of_{n}").alias(f"_sum_{n}") for n in totals])
     earlier = Window.partitionBy(*group_by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(g).alias(f"_of_{g}") for g in group_by],
+    offsets = sums.select(
+        *[F.col(g).alias(f"_group_{g}") for g in group_by],
         F.col("_slice").alias("_of_slice"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-    )
-    match = [F.col("_slice").eqNullSafe(F.col("_of_slice"))]
-    match += [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group_by]
-    place = F.row_number().over(Window.partitionBy(*group_by, "_slice").orderBy(*order))
-    return (
-        sliced.withColumn("_in_slice", place)
-        .join(offsets, match)
-        .withColumn(name, F.col("_in_slice") + F.col("_before"))
-        .drop("_slice", "_in_slice", "_before", "_of_slice", *[f"_of_{g}" for g in group_by])
+        *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in totals],
     )
+    match = [F.col("_slice") == F.col("_of_slice")] + [F.col(g).eqNullSafe(F.col(f"_group_{g}")) for g in group_by]
+    placed = sliced.withColumns({f"_in_{n}": F.sum(f"_of_{n}").over(within) for n in totals}).join(offsets, match)
+    result = placed.select(*df.columns, *[(F.col(f"_in_{n}") + F.col(f"_before_{n}")).alias(n) for n in totals])
+    return result
+
+
+def number_rows(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str] = (), name: str = "row_no") -> DataFrame:
+    """`row_number()` over the order, within each group if groups are given, one plan for every size; see running_totals."""
+    return running_totals(df, order_by, {name: F.lit(1).cast("long")}, group_by)
 
 
 def batch_numbers(df: DataFrame, order_by: Sequence[str], size: int, name: str = "batch_no") -> DataFrame:

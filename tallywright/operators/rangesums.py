@@ -4,7 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+
+EXACT = (T.IntegralType, T.DecimalType)
+
+
+def valid_ranges(ranges: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Distinct ranges of dates that hold at least a day."""
+    return ranges.select(key, start, end).filter(F.col(key).isNotNull() & (F.col(start) <= F.col(end))).distinct()
+
+
+def covered_days(ranges: DataFrame, key: str, start: str, end: str, day: str = "day") -> DataFrame:
+    """The days that any range of a key holds, each once: ranges that overlap or touch are merged into disjoint ones before
+    they are spread into days, so a day is not repeated per range."""
+    in_order = Window.partitionBy(key).orderBy(start, end)
+    reached = F.max(end).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    parted = F.coalesce(F.col(start) > F.date_add(reached, 1), F.lit(True)).cast("int")
+    marked = valid_ranges(ranges, key, start, end).withColumn("_parted", parted)
+    merged = (
+        marked.withColumn("_island", F.sum("_parted").over(in_order))
+        .groupBy(key, "_island")
+        .agg(F.min(start).alias("_first"), F.max(end).alias("_last"))
+    )
+    return merged.select(key, F.explode(F.sequence("_first", "_last")).alias(day))
 
 
 def range_sums(
@@ -18,18 +40,22 @@ def range_sums(
 ) -> DataFrame:
     """For each distinct (key, start, end): the sum of every measure over facts with start <= day <= end.
 
-    A sum is null when no fact in the range has a value. Facts are first added up per key and day, so what a key holds
-    from then on is bounded by the calendar, however hot it is. A running total per key then answers every range as
-    `total up to end` minus `total up to the day before start`; facts and ranges are never paired.
+    A sum is null when no fact in the range has a value. Facts on days that no range of their key holds are dropped first,
+    by an equi-join on key and day that spreads a hot key over its days. The rest are added up per key and day, so what a
+    key holds from then on is bounded by the calendar. A running total per key then answers every range as `total up to
+    end` minus `total up to the day before start`; facts and ranges are never paired. Such differences are right for exact
+    numbers only, so other measures are an error: cast them to a decimal.
     """
-    bounds = (
-        ranges.select(key, start, end)
-        .filter(F.col(key).isNotNull() & (F.col(start) <= F.col(end)))
-        .distinct()
-    )
+    inexact = [m for m in measures if not isinstance(facts.schema[m].dataType, EXACT)]
+    if inexact:
+        raise TypeError(f"range sums need integers or decimals, not {inexact}: cast them first")
+    bounds = valid_ranges(ranges, key, start, end)
+    covered = covered_days(ranges, key, start, end, "_day")
     daily = (
         facts.filter(F.col(key).isNotNull() & F.col(day).isNotNull())
-        .groupBy(key, F.col(day).cast("date").alias("_day"))
+        .withColumn("_day", F.col(day).cast("date"))
+        .join(covered, [key, "_day"], "left_semi")
+        .groupBy(key, "_day")
         .agg(
             *[F.sum(m).alias(m) for m in measures],
             *[F.count(m).alias(f"_n_{m}") for m in measures],

@@ -2,8 +2,9 @@
 
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tallywright.operators import (
     batch_numbers,
@@ -17,8 +18,11 @@ from tallywright.operators import (
     pivot_sums,
     preserve_rows,
     range_sums,
+    running_totals,
     unpivot_present,
 )
+from tallywright.operators.rangesums import covered_days
+from tallywright.operators.numbering import SLICES, slice_bounds, with_slices
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 DAY = dt.date(2024, 1, 1)
@@ -63,31 +67,102 @@ def test_range_sums(spark, facts, ranges):
         assert found.get((k, at(a), at(b))) == (sum(hit) if hit else None)
 
 
+def test_facts_outside_all_ranges_are_dropped_first(spark):
+    """A fact that would overflow the sum stands on a day that no range of its key holds."""
+    at = lambda n: DAY + dt.timedelta(days=n)
+    large = 2**63 - 1
+    facts = [(1, at(0), large), (1, at(0), large), (1, at(5), 2), (1, at(6), 3), (1, at(9), large), (2, at(5), large)]
+    f = spark.createDataFrame(facts, "k int, day date, v long")
+    g = spark.createDataFrame([(1, at(5), at(5)), (1, at(4), at(6)), (1, at(6), at(7)), (3, at(0), at(9))], "k int, a date, b date")
+    assert rows(range_sums(f, g, "k", "day", "a", "b", ["v"])) == [(1, at(4), at(6), 5), (1, at(5), at(5), 2), (1, at(6), at(7), 3), (3, at(0), at(9), None)]
+    assert {tuple(r) for r in covered_days(g, "k", "a", "b").collect()} == {(1, at(n)) for n in (4, 5, 6, 7)} | {(3, at(n)) for n in range(10)}
+
+
+@few
+@given(data=st.lists(st.tuples(st.sampled_from([None, 1, 1, 2]), st.sampled_from([None, *range(20)]), st.integers(0, 24)), max_size=12))
+def test_covered_days(spark, data):
+    at = lambda n: None if n is None else DAY + dt.timedelta(days=n)
+    g = spark.createDataFrame([(k, at(a), at(b)) for k, a, b in data], "k int, a date, b date")
+    wanted = {(k, at(n)) for k, a, b in data if k is not None and a is not None for n in range(a, b + 1)}
+    assert rows(covered_days(g, "k", "a", "b")) == sorted(wanted, key=repr)
+
+
+def test_range_sums_of_inexact_numbers(spark):
+    """A running total of doubles would lose 0.1 beside 1e16; as decimals both ranges are right."""
+    at = lambda n: DAY + dt.timedelta(days=n)
+    f = spark.createDataFrame([(1, at(0), 1e16), (1, at(1), 0.1)], "k int, day date, v double")
+    g = spark.createDataFrame([(1, at(0), at(1)), (1, at(1), at(1))], "k int, a date, b date")
+    with pytest.raises(TypeError, match="cast them first"):
+        range_sums(f, g, "k", "day", "a", "b", ["v"])
+    exact = f.withColumn("v", F.col("v").cast("decimal(20,2)"))
+    assert [str(r.v) for r in range_sums(exact, g, "k", "day", "a", "b", ["v"]).orderBy("a").collect()] == ["10000000000000000.10", "0.10"]
+
+
 def test_range_sums_with_null_bounds(spark):
     f = spark.createDataFrame([(1, DAY, 2)], "k int, day date, v long")
     g = spark.createDataFrame([(1, None, DAY), (1, DAY, None), (1, DAY, DAY)], "k int, a date, b date")
     assert rows(range_sums(f, g, "k", "day", "a", "b", ["v"])) == [(1, DAY, DAY, 2)]
 
 
-def test_number_rows_in_slices(spark):
-    """One group holds a third of all rows; forced slicing must agree with the plain window."""
+def test_number_rows_in_groups(spark):
+    """One group holds a third of all rows; the numbers must agree with the plain window."""
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(None).cast("string")).otherwise((F.col("id") % 50).cast("string")).alias("g"),
         F.when(F.col("id") % 7 == 0, F.lit(None).cast("long")).otherwise(F.col("id") * 37 % 101).alias("o"),
         "id",
     )
-    sliced = number_rows(df, ["o", "id"], ["g"], "n", F.floor(F.col("o") / 2))
-    plain = number_rows(df, ["o", "id"], ["g"], "n")
-    assert "_slice" in sliced._jdf.queryExecution().optimizedPlan().toString()
-    assert rows(sliced.select("g", "o", "id", "n")) == rows(plain.select("g", "o", "id", "n"))
-    assert sorted(r.n for r in sliced.filter("g is null").collect()) == list(range(1, 1001))
-
-
-def test_number_rows_over_everything(spark):
-    df = spark.range(500).select((F.col("id") * 7 % 500).alias("k"))
-    found = number_rows(df, ["k"], name="n", slice_by=F.floor(F.col("k") / 7)).collect()
-    assert all(r.n == r.k + 1 for r in found) and len(found) == 500
-    assert number_rows(df.limit(0), ["k"]).count() == 0
+    numbered = number_rows(df, ["o", "id"], ["g"], "n")
+    plain = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o", "id")))
+    assert rows(numbered.select("g", "o", "id", "n")) == rows(plain)
+    assert sorted(r.n for r in numbered.filter("g is null").collect()) == list(range(1, 1001))
+
+
+# a constant head, keys that differ in their first 8 characters, one hot value, outliers, dates, hardly any keys
+KEYS = {
+    "constant head": ("format_string('Customer#%012d', id * 7 % 20011)", "string"),
+    "all different": ("sha2(cast(id as string), 256)", "string"),
+    "one hot value": ("if(id % 3 > 0, 'hot', cast(id as string))", "string"),
+    "outliers": ("if(id % 5000 = 7, id * 1000000000000, id * 31 % 977)", "long"),
+    "dates": ("if(id % 9 > 0, date_add(date '2024-01-01', cast(id % 40 as int)), null)", "date"),
+    "few": ("id % 3", "double"),
+}
+
+
+@pytest.mark.parametrize("name", KEYS)
+def test_slices_follow_the_keys(spark, name):
+    """However the keys look, slices are few enough to be added up in one task and each holds few of the rows."""
+    key, kind = KEYS[name]
+    df = spark.range(20011).select(F.expr(key).cast(kind).alias("k"), "id").repartition(7)
+    per_slice = with_slices(df, ["k", "id"], "s").groupBy("s").agg(F.count("*").alias("n"), F.min(F.struct("k", "id")).alias("a"), F.max(F.struct("k", "id")).alias("z"))
+    cut = per_slice.orderBy("s").collect()
+    assert 1000 < len(cut) <= SLICES and max(r.n for r in cut) < 60
+    order = lambda r: (r.k is not None, r.k if r.k is not None else 0, r.id)
+    assert all(order(x.z) < order(y.a) for x, y in zip(cut, cut[1:]))
+    numbered = sorted((r.n, *order(r)) for r in number_rows(df, ["k", "id"], name="n").collect())
+    assert [r[0] for r in numbered] == list(range(1, 20012)) and numbered == sorted(numbered, key=lambda r: r[1:])
+
+
+def test_bounds_are_the_same_each_time(spark):
+    df = spark.range(50000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"))
+    first = slice_bounds(df.repartition(3), ["k"]).first()
+    assert first == slice_bounds(df.repartition(11), ["k"]).first()
+
+
+def test_rows_that_tie_and_no_rows(spark):
+    df = spark.range(500).select((F.col("id") % 2).alias("k"))
+    found = sorted((r.n, r.k) for r in number_rows(df, ["k"], name="n").collect())
+    assert found == [(n, 0 if n <= 250 else 1) for n in range(1, 501)]
+    assert number_rows(df.limit(0), ["k"]).count() == 0 and number_rows(df.limit(1), ["k"], name="n").first().n == 1
+
+
+@few
+@given(data=st.lists(st.tuples(st.sampled_from([None, "a", "b"]), st.integers(0, 9), st.sampled_from([None, 1, -5, 7])), max_size=30))
+def test_running_totals(spark, data):
+    df = spark.createDataFrame([(g, o, k, v) for k, (g, o, v) in enumerate(data)], "g string, o int, id int, v long")
+    found = running_totals(df, ["o", "id"], {"t": F.col("v"), "n": F.lit(1)}, ["g"])
+    for r in found.collect():
+        until = [v for k, (g, o, v) in enumerate(data) if g == r.g and (o, k) <= (r.o, r.id)]
+        assert (r.t, r.n) == (sum(v or 0 for v in until), len(until))
 
 
 @few
