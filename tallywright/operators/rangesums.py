@@ -51,47 +51,54 @@ def range_sums(
         raise TypeError(f"range sums need integers or decimals, not {inexact}: cast them first")
     bounds = valid_ranges(ranges, key, start, end)
     covered = covered_days(ranges, key, start, end, "_day")
-    daily = (
+    inside = (
         facts.filter(F.col(key).isNotNull() & F.col(day).isNotNull())
         .withColumn("_day", F.col(day).cast("date"))
         .join(covered, [key, "_day"], "left_semi")
-        .groupBy(key, "_day")
-        .agg(
-            *[F.sum(m).alias(m) for m in measures],
-            *[F.count(m).alias(f"_n_{m}") for m in measures],
-        )
-        .withColumn("_order", F.lit(0))
+        .select(key, "_day", *measures)
+    )
+    return tagged_range_sums(inside.unionByName(bounds, allowMissingColumns=True), key, "_day", start, end, measures)
+
+
+def tagged_range_sums(rows: DataFrame, key: str, day: str, start: str, end: str, measures: Sequence[str]) -> DataFrame:
+    """As `range_sums`, of one table: a row with a day is a fact, one with a start and an end is a range, or both at once.
+
+    Facts are added up per key and day and ranges made distinct by one grouping. The caller leaves out facts that no range
+    needs.
+    """
+    nothing = [F.lit(None).cast(rows.schema[m].dataType).alias(m) for m in measures]
+    edge = lambda at, sign: F.struct(
+        at.alias("_day"), F.lit(1).alias("_order"), F.lit(sign).alias("_sign"), F.col(start).alias(start), F.col(end).alias(end), *nothing
+    )
+    fact = F.struct(
+        F.col(day).cast("date").alias("_day"),
+        F.lit(0).alias("_order"),
+        F.lit(0).alias("_sign"),
+        F.lit(None).cast(rows.schema[start].dataType).alias(start),
+        F.lit(None).cast(rows.schema[end].dataType).alias(end),
+        *[F.col(m).alias(m) for m in measures],
+    )
+    holds = F.col(start) <= F.col(end)
+    tagged = F.array(
+        F.when(F.col(day).isNotNull(), fact),
+        F.when(holds, edge(F.col(end).cast("date"), 1)),
+        F.when(holds, edge(F.date_sub(F.col(start), 1), -1)),
+    )
+    reduced = (
+        rows.filter(F.col(key).isNotNull())
+        .select(key, F.explode(F.array_compact(tagged)).alias("_t"))
+        .select(key, "_t.*")
+        .groupBy(key, "_day", "_order", "_sign", start, end)
+        .agg(*[F.sum(m).alias(m) for m in measures], *[F.count(m).alias(f"_n_{m}") for m in measures])
     )
-    probes = bounds.select(
-        key,
-        start,
-        end,
-        F.lit(1).alias("_order"),
-        F.explode(
-            F.array(
-                F.struct(F.col(end).alias("_day"), F.lit(1).alias("_sign")),
-                F.struct(F.date_sub(F.col(start), 1).alias("_day"), F.lit(-1).alias("_sign")),
-            )
-        ).alias("_probe"),
-    ).select(key, start, end, "_order", "_probe.*")
     so_far = Window.partitionBy(key).orderBy("_day", "_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     columns = [c for m in measures for c in (m, f"_n_{m}")]
-    totals = daily.unionByName(probes, allowMissingColumns=True).select(
-        key,
-        start,
-        end,
-        "_order",
-        "_sign",
-        *[F.coalesce(F.sum(c).over(so_far), F.lit(0)).alias(c) for c in columns],
+    totals = reduced.select(
+        key, start, end, "_order", "_sign", *[F.coalesce(F.sum(c).over(so_far), F.lit(0)).alias(c) for c in columns]
     )
     per_range = (
         totals.filter(F.col("_order") == 1)
         .groupBy(key, start, end)
         .agg(*[F.sum(F.col(c) * F.col("_sign")).alias(c) for c in columns])
     )
-    return per_range.select(
-        key,
-        start,
-        end,
-        *[F.when(F.col(f"_n_{m}") > 0, F.col(m)).alias(m) for m in measures],
-    )
+    return per_range.select(key, start, end, *[F.when(F.col(f"_n_{m}") > 0, F.col(m)).alias(m) for m in measures])

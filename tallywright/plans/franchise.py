@@ -6,14 +6,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywright.functions import dates, filters, text
 from tallywright.functions.money import fixed_point, money_text, sum_when, zero_if_null
-from tallywright.operators.rangesums import range_sums
+from tallywright.operators.rangesums import tagged_range_sums
 from tallywright.operators.reshape import pivot_sums, unpivot_present
 from tallywright.plans.stores import accrued
 
@@ -87,10 +89,18 @@ class Franchise:
 
 @dataclass(frozen=True)
 class FranchiseParams:
+    """longest: days a settlement row may span; a row of the period that spans more is an error. So no fact dated earlier
+    than that before the start can count, and none is read beyond its date."""
+
     start: dt.date
     end: dt.date
     chain_id: int | None = None
     store_id: int | None = None
+    longest: int = 366
+
+    @property
+    def reach(self) -> dt.date:
+        return self.start - dt.timedelta(days=self.longest)
 
 
 def _location(id_column: str) -> Column:
@@ -111,10 +121,14 @@ def _named_stores(f: Franchise, params: FranchiseParams, how: str = "left") -> D
     return joined.drop("prefs_key").withColumn("ClubState", text.trimmed(F.col("ClubState")))
 
 
-def _period_log(f: Franchise, params: FranchiseParams) -> DataFrame:
+def _in_period(params: FranchiseParams) -> Column:
     """Settlement rows of stores that end within the report's days."""
-    in_period = (F.col("ToDate") >= F.lit(params.start)) & (F.col("ToDate") < F.lit(params.end + dt.timedelta(days=1)))
-    return f.settlement_log.filter(in_period & (F.col("CoreTypeId") == STORE_TYPE))
+    in_days = (F.col("ToDate") >= F.lit(params.start)) & (F.col("ToDate") < F.lit(params.end + dt.timedelta(days=1)))
+    return in_days & (F.col("CoreTypeId") == STORE_TYPE)
+
+
+def _period_log(f: Franchise, params: FranchiseParams) -> DataFrame:
+    return f.settlement_log.filter(_in_period(params))
 
 
 def category_skeleton(f: Franchise, params: FranchiseParams) -> DataFrame:
@@ -138,47 +152,101 @@ def category_skeleton(f: Franchise, params: FranchiseParams) -> DataFrame:
     )
 
 
-def _dated_facts(f: Franchise, params: FranchiseParams) -> DataFrame:
-    """Card-present payments and named fees per store and day, for the stores of the report.
+def _dated_sums(f: Franchise, params: FranchiseParams) -> DataFrame:
+    """Card-present payments and named fees per store and settlement period, in one pass over log, fees and payments.
 
     A fee counts once for every settlement row that shares the reconciliation, store and type of the row it hangs on,
-    so fees are weighted by the number of such rows. That stands for the self-join of the log without pairing rows.
+    so fees are weighted by the number of such rows. That stands for the self-join of the log without pairing rows. A log
+    row is a dated fact, and a range of days if it ends in the period.
     """
     keys = _chain_stores(f, params).select("store_key").distinct()
-    last_day = F.lit(params.end)
+    first_day, last_day = F.lit(params.reach), F.lit(params.end)
     paid = (
         f.payments.filter(
             (F.col("PurchaseWith") == 1)
             & filters.same_text(F.col("GatewayType"), ["CP"])
-            & (F.to_date("PaymentDate") <= last_day)
+            & (F.col("PaymentDate") >= first_day)
+            & (F.col("PaymentDate") < F.lit(params.end + dt.timedelta(days=1)))
         )
-        .groupBy(F.col("StoreID").alias("store_key"), F.to_date("PaymentDate").alias("day"))
-        .agg(F.sum(money_text(F.col("TotalAmount"))).alias("CardPresent"))
+        .select(F.col("StoreID").alias("store_key"), F.to_date("PaymentDate").alias("day"), F.col("TotalAmount"))
+        .join(keys, "store_key", "left_semi")
+        .select("store_key", "day", money_text(F.col("TotalAmount")).alias("CardPresent"))
     )
-    fees = f.settlement_log_fee.groupBy(F.col("SettlementLogId").alias("fee_log_id")).agg(
-        *[
-            sum_when((F.col("FeeCategoryId") == category) & F.col("FeeName").ilike(pattern), F.col("Amount")).alias(name)
-            for name, (category, pattern) in NAMED_FEES.items()
-        ]
+    named = {
+        name: (F.col("FeeCategoryId") == category) & F.col("FeeName").ilike(pattern)
+        for name, (category, pattern) in NAMED_FEES.items()
+    }
+    fees = (
+        f.settlement_log_fee.filter(reduce(operator.or_, named.values()))
+        .groupBy(F.col("SettlementLogId").alias("fee_log_id"))
+        .agg(*[sum_when(test, F.col("Amount")).alias(name) for name, test in named.items()])
     )
     shared = ["ReconcileId", "CoreId", "CoreTypeId"]
+    has_key = F.col("ReconcileId").isNotNull() & F.col("CoreTypeId").isNotNull()
+    in_period = _in_period(params)
+    long = F.datediff("ToDate", "FromDate") > params.longest
+    error = F.concat(F.lit("longer than the parameter `longest`: settlement row "), F.col("SettlementLogId").cast("string"))
     per_day = (
-        f.settlement_log.filter(F.col("ReconcileId").isNotNull() & F.col("CoreTypeId").isNotNull())
-        .select("SettlementLogId", *shared, "FromDate")
+        f.settlement_log.filter(has_key | in_period)
+        .select("SettlementLogId", *shared, "FromDate", F.when(in_period, F.col("ToDate")).alias("ToDate"))
         .join(keys, F.col("CoreId") == F.col("store_key"), "left_semi")
+        .withColumn("ToDate", F.when(F.assert_true(~F.coalesce(long, F.lit(False)), error).isNull(), F.col("ToDate")))
         .join(fees, F.col("SettlementLogId") == F.col("fee_log_id"), "left")
-        .groupBy(*shared, "FromDate")
+        .groupBy(*shared, "FromDate", "ToDate")
         .agg(F.count(F.lit(1)).alias("log_rows"), *[F.sum(name).alias(name) for name in NAMED_FEES])
     )
-    # by now a key has one row per day, so counting its settlement rows over a window is bounded by the calendar
+    # by now a key has few rows per day, so counting its settlement rows over a window is bounded by the calendar
     twins = F.sum("log_rows").over(Window.partitionBy(*shared))
-    charged = (
-        per_day.withColumn("twins", twins)
-        .filter(F.col("FromDate") <= last_day)
-        .groupBy(F.col("CoreId").alias("store_key"), F.col("FromDate").alias("day"))
-        .agg(*[F.sum(F.col(name) * F.col("twins")).alias(name) for name in NAMED_FEES])
+    counts = has_key & F.col("FromDate").between(first_day, last_day)
+    charged = per_day.withColumn("twins", twins).select(
+        F.col("CoreId").alias("store_key"),
+        F.when(counts, F.col("FromDate")).alias("day"),
+        F.when(F.col("ToDate").isNotNull(), F.col("FromDate")).alias("FromDate"),
+        "ToDate",
+        *[(F.col(name) * F.col("twins")).alias(name) for name in NAMED_FEES],
+    )
+    rows = charged.unionByName(paid, allowMissingColumns=True)
+    sums = tagged_range_sums(rows, "store_key", "day", "FromDate", "ToDate", ["CardPresent", *NAMED_FEES])
+    return sums.select(
+        "store_key",
+        F.col("FromDate").alias("sum_from"),
+        F.col("ToDate").alias("sum_to"),
+        *[fixed_point(F.col(m)).alias(m) for m in ("CardPresent", *NAMED_FEES)],
+    )
+
+
+def _adjustment_sums(f: Franchise) -> DataFrame:
+    """Per reconciliation and store: adjustments it created and corporate adjustments, in one pass.
+
+    An adjustment can be both: it is tagged for the reconciliation that created it and for the one it belongs to.
+    """
+    sub, amount = F.col("QuickbookSubcategoryId"), F.col("Amount")
+    tag = lambda reconcile, store, kind, value, club: F.struct(
+        reconcile.alias("sum_reconcile"), store.alias("sum_store"), F.lit(kind).alias("kind"), value.alias("value"), club.alias("club")
+    )
+    created, nowhere = (F.col("CreatedByReconcileId"), F.col("StoreId")), F.lit(None).cast(f.remit_adjustments.schema["StoreId"].dataType)
+    corporate = (F.col("CoreTypeId") == STORE_TYPE) & (F.col("Chain") == 1) & F.col("AdjustmentForFeeId").isNull()
+    tags = F.array(
+        F.when(sub.isin(85, 86), tag(*created, "ach", amount, nowhere)),
+        F.when(sub.isin(80, 81), tag(*created, "amex", -amount, nowhere)),
+        F.when(corporate, tag(F.col("ReconcileId"), F.col("CoreId"), "corp", amount, F.col("StoreId"))),
+    )
+    clubs = f.cas_clubs.groupBy(F.col("StoreID").alias("club_store")).agg(F.count(F.lit(1)).alias("clubs"))
+    keys = ["sum_reconcile", "sum_store"]
+    reduced = (
+        f.remit_adjustments.select(F.explode(F.array_compact(tags)).alias("t"))
+        .select("t.*")
+        .filter(F.col("sum_reconcile").isNotNull() & F.col("sum_store").isNotNull())
+        .groupBy(*keys, "kind", "club")
+        .agg(F.sum("value").alias("value"))
+        .join(clubs, F.col("club") == F.col("club_store"), "left")
+    )
+    of = lambda kind, value: sum_when(F.col("kind") == kind, value)
+    return reduced.groupBy(*keys).agg(
+        of("ach", F.col("value")).alias("ACHAdjustments"),
+        of("amex", F.col("value")).alias("AmexAdjustments"),
+        of("corp", F.col("value") * F.coalesce("clubs", F.lit(1))).alias("CorpAdj"),
     )
-    return paid.join(keys, "store_key", "left_semi").unionByName(charged, allowMissingColumns=True)
 
 
 def settlement_wide(f: Franchise, params: FranchiseParams) -> DataFrame:
@@ -207,64 +275,14 @@ def settlement_wide(f: Franchise, params: FranchiseParams) -> DataFrame:
         )
         .distinct()
     )
-    dated = range_sums(
-        _dated_facts(f, params),
-        _period_log(f, params)
-        .join(stores, F.col("CoreId") == F.col("store_key"), "left_semi")
-        .select(F.col("CoreId").alias("store_key"), "FromDate", "ToDate"),
-        key="store_key",
-        day="day",
-        start="FromDate",
-        end="ToDate",
-        measures=["CardPresent", *NAMED_FEES],
-    ).select(
-        "store_key",
-        F.col("FromDate").alias("sum_from"),
-        F.col("ToDate").alias("sum_to"),
-        *[fixed_point(F.col(m)).alias(m) for m in ("CardPresent", *NAMED_FEES)],
-    )
-    sub = F.col("QuickbookSubcategoryId")
-    created = (
-        f.remit_adjustments.filter(sub.isin(85, 86, 80, 81))
-        .groupBy(F.col("CreatedByReconcileId").alias("created_by"), F.col("StoreId").alias("created_store"))
-        .agg(
-            sum_when(sub.isin(85, 86), F.col("Amount")).alias("ACHAdjustments"),
-            sum_when(sub.isin(80, 81), -F.col("Amount")).alias("AmexAdjustments"),
-        )
-    )
-    clubs = f.cas_clubs.groupBy(F.col("StoreID").alias("club_store")).agg(F.count(F.lit(1)).alias("clubs"))
-    corporate = (
-        f.remit_adjustments.filter((F.col("Chain") == 1) & F.col("AdjustmentForFeeId").isNull())
-        .groupBy("ReconcileId", "CoreId", "CoreTypeId", "StoreId")
-        .agg(F.sum("Amount").alias("Amount"))
-        .join(clubs, F.col("StoreId") == F.col("club_store"), "left")
-        .groupBy(
-            F.col("ReconcileId").alias("corp_reconcile"),
-            F.col("CoreId").alias("corp_core"),
-            F.col("CoreTypeId").alias("corp_type"),
-        )
-        .agg(F.sum(F.col("Amount") * F.coalesce("clubs", F.lit(1))).alias("CorpAdj"))
-    )
-    joined = (
-        rows.join(
-            created,
-            (F.col("ReconcileId") == F.col("created_by")) & (F.col("CoreId") == F.col("created_store")),
-            "left",
-        )
-        .join(
-            corporate,
-            (F.col("ReconcileId") == F.col("corp_reconcile"))
-            & (F.col("CoreId") == F.col("corp_core"))
-            & (F.col("CoreTypeId") == F.col("corp_type")),
-            "left",
-        )
-        .join(
-            dated,
-            (F.col("CoreId") == F.col("store_key"))
-            & (F.col("FromDate") == F.col("sum_from"))
-            & (F.col("ToDate") == F.col("sum_to")),
-            "left",
-        )
+    joined = rows.join(
+        _adjustment_sums(f),
+        (F.col("ReconcileId") == F.col("sum_reconcile")) & (F.col("CoreId") == F.col("sum_store")),
+        "left",
+    ).join(
+        _dated_sums(f, params),
+        (F.col("CoreId") == F.col("store_key")) & (F.col("FromDate") == F.col("sum_from")) & (F.col("ToDate") == F.col("sum_to")),
+        "left",
     )
     return joined.select(
         *rows.columns,
@@ -286,82 +304,95 @@ def settlement_long(f: Franchise, params: FranchiseParams) -> DataFrame:
     return unpivot_present(wide, ids, measures, "Category", "Amount").select(*STAGED)
 
 
-def fee_lines(f: Franchise, params: FranchiseParams) -> DataFrame:
-    """Fee lines outside the corporate category, labelled by the name of their category."""
-    log = _period_log(f, params).select("SettlementLogId", "CoreId", "CoreTypeId")
-    fees = f.settlement_log_fee.filter(F.col("FeeCategoryId") != CORPORATE_FEE).select(
-        F.col("SettlementLogId").alias("fee_log_id"),
-        F.col("ReconcileFeeId").alias("fee_key"),
-        F.col("FeeCategoryId").alias("fee_category_key"),
-        "Amount",
-    )
-    kinds = f.reconcile_fee.select("ReconcileFeeId")
-    names = f.fee_category.select("FeeCategoryId", F.col("Name").alias("Category"))
-    return (
-        log.join(_named_stores(f, params), F.col("CoreId") == F.col("store_key"))
-        .join(fees, F.col("SettlementLogId") == F.col("fee_log_id"))
-        .join(kinds, F.col("fee_key") == F.col("ReconcileFeeId"))
-        .join(names, F.col("fee_category_key") == F.col("FeeCategoryId"), "left")
-        .select(
-            "CoreId",
-            "CoreTypeId",
-            _location("CoreId").alias("Location"),
-            "ClubState",
-            "Category",
-            fixed_point(F.col("Amount")).alias("Amount"),
-            F.col("ExternalStoreID").alias("ExternalStoreId"),
-            "CollectionsBy",
-        )
-    )
+LINE, ADJUSTMENT = "line", "adjustment"
 
 
-def fee_adjustments(f: Franchise, params: FranchiseParams) -> DataFrame:
-    """Adjustments to fees, added up per category, store and location; distinct rows, label suffix `adj`.
+def _fee_parts(f: Franchise, params: FranchiseParams, kinds: Sequence[str]) -> DataFrame:
+    """Fee lines outside the corporate category, and adjustments to fees added up per category, store and location.
 
-    Settlement rows and adjustments that share a key are counted and added up before they are joined, so a key that
-    many rows share is never paired out.
+    Log rows and facts are tagged by kind and keyed alike - a fee line by its settlement row, an adjustment by
+    reconciliation, store and type - so each table is read once for both. Rows that share a key, and equal fee lines, are
+    counted and added up before they are joined, so a key that many rows share is never paired out; fee lines come back
+    one by one at the end.
     """
+    tag = lambda kind, *keys: F.struct(
+        F.lit(kind).alias("kind"), *[(F.lit(0) if k is None else F.col(k)).cast("long").alias(f"k{n}") for n, k in enumerate(keys)]
+    )
+    keys = {LINE: ("SettlementLogId", None, None), ADJUSTMENT: ("ReconcileId", "CoreId", "CoreTypeId")}
+    on = ["kind", "k0", "k1", "k2"]
     log = (
         _period_log(f, params)
-        .groupBy("ReconcileId", "CoreId", "CoreTypeId")
+        .select("CoreId", "CoreTypeId", F.explode(F.array(*[tag(k, *keys[k]) for k in kinds])).alias("t"))
+        .groupBy("CoreId", "CoreTypeId", "t")
         .agg(F.count(F.lit(1)).alias("log_rows"))
+        .select("CoreId", "CoreTypeId", "t.*", "log_rows")
+    )
+    # lines keep their amount as a key, adjustments are added up
+    lines = f.settlement_log_fee.filter(F.col("FeeCategoryId") != CORPORATE_FEE).select(
+        tag(LINE, *keys[LINE]).alias("t"),
+        F.col("ReconcileFeeId").alias("fee_key"),
+        F.col("FeeCategoryId").alias("line_category"),
+        F.col("Amount").alias("line_amount"),
+    )
+    adjustments = f.remit_adjustments.filter(F.col("AdjustmentForFeeId").isNotNull()).select(
+        tag(ADJUSTMENT, *keys[ADJUSTMENT]).alias("t"),
+        F.col("AdjustmentForFeeId").alias("fee_key"),
+        zero_if_null(F.col("Amount")).alias("adjusted"),
     )
-    adjustments = (
-        f.remit_adjustments.filter(F.col("AdjustmentForFeeId").isNotNull())
-        .groupBy("ReconcileId", "CoreId", "CoreTypeId", F.col("AdjustmentForFeeId").alias("adjusted_fee"))
-        .agg(F.sum(zero_if_null(F.col("Amount"))).alias("adjusted"))
+    chosen = [part for kind, part in ((LINE, lines), (ADJUSTMENT, adjustments)) if kind in kinds]
+    facts = chosen[0] if len(chosen) == 1 else chosen[0].unionByName(chosen[1], allowMissingColumns=True)
+    amount = f.settlement_log_fee.schema["Amount"].dataType
+    for column, kind in (("line_category", "int"), ("line_amount", amount), ("adjusted", f.remit_adjustments.schema["Amount"].dataType)):
+        if column not in facts.columns:
+            facts = facts.withColumn(column, F.lit(None).cast(kind))
+    facts = (
+        facts.groupBy("t", "fee_key", "line_category", "line_amount")
+        .agg(F.sum("adjusted").alias("adjusted"), F.count(F.lit(1)).alias("facts"))
+        .select("t.*", "fee_key", "line_category", "line_amount", "adjusted", "facts")
     )
-    kinds = f.reconcile_fee.select("ReconcileFeeId", F.col("FeeCategoryId").alias("kind_category"))
-    names = f.fee_category.select("FeeCategoryId", F.rtrim("Name").alias("category_name"))
-    keys = ["category_name", "CoreId", "CoreTypeId", "LocationName"]
+    fee_kinds = f.reconcile_fee.select("ReconcileFeeId", F.col("FeeCategoryId").alias("kind_category"))
+    names = f.fee_category.select("FeeCategoryId", F.col("Name").alias("category_name"))
+    is_line = F.col("kind") == LINE
+    stores = ["CoreId", "CoreTypeId", "LocationName", "ClubState", "ExternalStoreID", "CollectionsBy"]
+    name = F.when(is_line, F.col("category_name")).otherwise(F.rtrim("category_name"))
     reduced = (
-        adjustments.join(log, ["ReconcileId", "CoreId", "CoreTypeId"])
-        .join(kinds, F.col("adjusted_fee") == F.col("ReconcileFeeId"))
-        .join(names, F.col("kind_category") == F.col("FeeCategoryId"), "left")
+        facts.join(log, on)
+        .join(fee_kinds, F.col("fee_key") == F.col("ReconcileFeeId"))
+        .withColumn("category_key", F.when(is_line, F.col("line_category")).otherwise(F.col("kind_category")))
+        .join(names, F.col("category_key") == F.col("FeeCategoryId"), "left")
         .join(_named_stores(f, params), F.col("CoreId") == F.col("store_key"))
-        .groupBy(*keys, "ClubState", "ExternalStoreID", "CollectionsBy")
-        .agg(F.sum(F.col("adjusted") * F.col("log_rows")).alias("adjusted"))
+        .groupBy(*stores, "kind", name.alias("category_name"), "line_amount")
+        .agg(F.sum(F.col("facts") * F.col("log_rows")).alias("lines"), F.sum(F.col("adjusted") * F.col("log_rows")).alias("adjusted"))
     )
-    total = F.sum("adjusted").over(Window.partitionBy(*keys))
-    return reduced.select(
+    alike = ["kind", "category_name", "CoreId", "CoreTypeId", "LocationName", "line_amount"]
+    total = F.sum("adjusted").over(Window.partitionBy(*alike))
+    times = F.when(is_line, F.col("lines")).otherwise(F.lit(1)).cast("int")
+    return reduced.withColumn("total", total).withColumn("copy", F.explode(F.sequence(F.lit(1), times))).select(
         "CoreId",
         "CoreTypeId",
         _location("CoreId").alias("Location"),
         "ClubState",
-        F.concat(F.trim("category_name"), F.lit("adj")).alias("Category"),
-        fixed_point(total).alias("Amount"),
+        F.when(is_line, F.col("category_name")).otherwise(F.concat(F.trim("category_name"), F.lit("adj"))).alias("Category"),
+        fixed_point(F.when(is_line, F.col("line_amount")).otherwise(F.col("total"))).alias("Amount"),
         F.col("ExternalStoreID").alias("ExternalStoreId"),
         "CollectionsBy",
-    ).distinct()
+    )
+
+
+def fee_lines(f: Franchise, params: FranchiseParams) -> DataFrame:
+    """Fee lines outside the corporate category, labelled by the name of their category."""
+    return _fee_parts(f, params, [LINE])
+
+
+def fee_adjustments(f: Franchise, params: FranchiseParams) -> DataFrame:
+    """Adjustments to fees, added up per category, store and location; distinct rows, label suffix `adj`."""
+    return _fee_parts(f, params, [ADJUSTMENT])
 
 
 def staging(f: Franchise, params: FranchiseParams) -> DataFrame:
     """All four parts in one long table."""
-    parts = category_skeleton(f, params), settlement_long(f, params), fee_lines(f, params), fee_adjustments(f, params)
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    parts = category_skeleton(f, params), settlement_long(f, params), _fee_parts(f, params, [LINE, ADJUSTMENT])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def one_spelling(category: Column, categories: Sequence[str]) -> Column:
@@ -420,9 +451,11 @@ def franchise_fee_report(
     f: Franchise,
     params: FranchiseParams,
     report_date: dt.date,
+    as_of: dt.datetime,
     categories: Sequence[str] | None = None,
+    minimums: Mapping[str, str] = FEE_MINIMUMS,
 ) -> DataFrame:
-    """One row per store with a column per category and two accrual balances.
+    """One row per store with a column per category, two accrual balances and the fee minimums in force at `as_of`.
 
     `PastAccrualBalance` is cut off at the report date and `CurrentAccrualBalance` a month earlier, as in the source,
     though the names suggest the reverse. Stores missing from the store detail are left out, and a store with several
@@ -447,7 +480,7 @@ def franchise_fee_report(
     zeroed = [c for c in ZEROED if c in categories]
     cutoffs = {"PastAccrual": report_date, "CurrentAccrual": month_earlier(report_date)}
     lines = accrued(f.remit_adjustments, f.cas_reconcile, cutoffs)
-    return (
+    report = (
         wide.fillna(0, subset=zeroed)
         .join(lines, F.col("CoreId") == F.col("accrual_store"), "left")
         .select(
@@ -463,3 +496,4 @@ def franchise_fee_report(
             fixed_point(zero_if_null(-F.col("PastAccrual"))).alias("PastAccrualBalance"),
         )
     )
+    return with_fee_minimums(report, f.reconcile_fee, as_of, minimums)

@@ -612,7 +612,9 @@ pivoted as (
 )
 select w.* exclude ("CoreId", "CoreTypeId", ChainName, ChainId), w."CoreId" as "StoreId", w.ChainName as "ChainName",
     w.ChainId as "ChainId", {_report_accrual(f"date '{s.REPORT_DATE}'")} as "PastAccrualBalance",
-    {_report_accrual("date '2001-02-28'")} as "CurrentAccrualBalance"
+    {_report_accrual("date '2001-02-28'")} as "CurrentAccrualBalance",
+    cast(coalesce((select sum(k.FeeMin) from reconcile_fee k where k.FeeName ilike '%Workout%System%'
+        and k.StartUtc <= timestamp '{s.AS_OF}' and k.CoreId = w."CoreId" and k.CoreTypeId = 3), 0) as bigint) as "WorkoutSystemFee"
 from pivoted w
 """,
 )

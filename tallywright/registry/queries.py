@@ -216,7 +216,7 @@ def ff_fee_adjustments(t):
 
 @query
 def franchise_fee_report(t):
-    return franchise.franchise_fee_report(_franchise(t), s.FRANCHISE, s.REPORT_DATE)
+    return franchise.franchise_fee_report(_franchise(t), s.FRANCHISE, s.REPORT_DATE, s.AS_OF)
 
 
 @query

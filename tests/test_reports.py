@@ -1,6 +1,8 @@
 """Hand-written cases for the points where the reports are easy to get wrong."""
 
+import dataclasses
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -308,7 +310,7 @@ def test_franchise_staging_parts(spark):
 
 def test_franchise_report(spark):
     f = _franchise(spark)
-    report = franchise.franchise_fee_report(f, PERIOD, dt.date(2024, 2, 15))
+    report = franchise.franchise_fee_report(f, PERIOD, dt.date(2024, 2, 15), T0)
     assert "directcoll" in report.columns and "DirectColl" not in report.columns
     found = report.collect()
     assert [r.StoreId for r in found] == [1]  # store 4 is not in the store detail
@@ -317,9 +319,48 @@ def test_franchise_report(spark):
     assert row.directcoll == 4 and row.Draft == 2 and row.SoftwareFee == 18 and row.NowFee == 0
     assert row.PCIFee is None and row.franchisefee1 == 0
     assert row.PastAccrualBalance == -10 and row.CurrentAccrualBalance == -10
+    assert row.WorkoutSystemFee == 7  # the minimum that starts later does not count
     assert franchise.month_earlier(dt.date(2024, 3, 31)) == dt.date(2024, 2, 29)
 
 
+def test_facts_before_the_period_reach_no_sum(spark):
+    """Payments that can't be added up stand before and after all days a settlement of the period can hold."""
+    f = _franchise(spark)
+    at = lambda *d: dt.datetime(*d, 12)
+    huge = "9" * 15
+    bad = [(900 + k, 1, day, 1, "CP", huge, "1") for k, day in enumerate([at(2022, 12, 30), at(2024, 3, 1), at(2020, 1, 1)])]
+    payments = f.payments.unionByName(spark.createDataFrame(bad, f.payments.schema))
+    wide = franchise.settlement_wide(dataclasses.replace(f, payments=payments), PERIOD)
+    assert {(r.CoreId, r.FromDate.month): r.CardPresent for r in wide.collect()}[1, 2] == Decimal("1000.50")
+    filters = re.findall(r"PaymentDate#\d+ (?:>=|<) [^)]*", wide._jdf.queryExecution().optimizedPlan().toString())
+    assert any("2022-12-31" in x for x in filters) and any("2024-03-01" in x for x in filters)
+
+
+def test_settlements_longer_than_the_parameter_are_an_error(spark):
+    f = _franchise(spark)
+    short = franchise.FranchiseParams(PERIOD.start, PERIOD.end, longest=29)
+    with pytest.raises(Exception, match="longer than the parameter `longest`: settlement row"):
+        franchise.settlement_wide(f, short).collect()
+
+
+def test_staged_amounts_are_all_in_the_report(spark):
+    """Pivoted sums equal the staged ones, for stores of the store detail with one club."""
+    f = _franchise(spark)
+    f = dataclasses.replace(f, cas_clubs=f.cas_clubs.limit(0))
+    staged = franchise.staging(f, PERIOD).filter("CoreId = 1").agg(F.sum("Amount")).first()[0]
+    row = franchise.franchise_fee_report(f, PERIOD, dt.date(2024, 2, 15), T0).first().asDict()
+    others = ("StoreId", "ChainId", "CollectionsBy", "CurrentAccrualBalance", "PastAccrualBalance", "WorkoutSystemFee")
+    assert sum(v for c, v in row.items() if c not in others and isinstance(v, Decimal)) == staged
+
+
+def test_equal_fee_lines_stay_apart(spark):
+    f = _franchise(spark)
+    lines = f.settlement_log_fee.filter("FeeCategoryId = 4")
+    f = dataclasses.replace(f, settlement_log_fee=lines.unionAll(lines).unionAll(lines))
+    assert [r.Amount for r in franchise.fee_lines(f, PERIOD).collect()] == [9, 9, 9]
+    assert franchise.fee_lines(f, PERIOD).count() + franchise.fee_adjustments(f, PERIOD).count() == 5
+
+
 def test_fee_minimums_in_force(spark):
     f = _franchise(spark)
     ids = f.stores.select(F.col("StoreID").alias("StoreId"))
