@@ -43,7 +43,7 @@ BLOCK = 1024
 #: Bytes of the vocabulary file that may be broadcast.
 LARGEST = 64 << 20
 ROWS_AT_ONCE = 256
-MOST_PARTS = 200_000
+MOST_PARTS = 400_000
 LONGEST_REMEMBERED = 64
 
 #: The normaliser and the pattern of the vocabularies that can be encoded by words.
