@@ -13,8 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICES = 4096
-#: Keys that are sampled for the bounds, on average, and the finest share of them that a hash can express.
-SAMPLED, HASHES = 2 * SLICES, 1 << 40
+#: One key in 2^5 can become a bound; of those, one for each of so many buckets of their hashes.
+RARITY_BITS, BUCKETS = 5, 2 * SLICES
 
 
 def _key(columns: Sequence[str]) -> Column:
@@ -24,13 +24,15 @@ def _key(columns: Sequence[str]) -> Column:
 def slice_bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: the keys at which slices 1 to `SLICES` - 1 begin, in order.
 
-    A key is sampled if its hash lies under a threshold that follows from the number of different keys, so about `SAMPLED`
-    keys meet in the last step at any size of the data, and the same data always give the same bounds.
+    The keys with the least hash of each bucket are the sample, so at most `BUCKETS` keys meet at any size of the data, each
+    task passes on no more than that, and the same data always give the same bounds. A slice holds some tens of different
+    keys, or more once there are a few hundred thousand.
     """
-    keys = df.select(_key(columns).alias("key"), F.pmod(F.xxhash64(*columns), F.lit(HASHES)).alias("hash"))
-    kinds = df.agg(F.approx_count_distinct(F.xxhash64(*columns)).alias("kinds")).scalar()
-    share = F.lit(float(SAMPLED)) * HASHES / F.greatest(kinds, F.lit(1))
-    sample = keys.where(F.col("hash") < share).select("key").distinct().agg(F.sort_array(F.collect_list("key")).alias("sample"))
+    hash = F.xxhash64(*columns)
+    keys = df.select(_key(columns).alias("key"), hash.alias("hash")).where(F.col("hash").bitwiseAND(F.lit((1 << RARITY_BITS) - 1)) == 0)
+    bucket = F.pmod(F.shiftright("hash", RARITY_BITS), F.lit(BUCKETS))
+    least = keys.groupBy(bucket.alias("bucket")).agg(F.min(F.struct("hash", "key")).alias("least"))
+    sample = least.agg(F.sort_array(F.collect_list("least.key")).alias("sample"))
     places = F.sequence(F.lit(1), F.lit(SLICES - 1))
     at = lambda n: F.get("sample", F.floor(n * F.size("sample") / SLICES).cast("int"))
     return sample.select(F.transform(places, at).alias("bounds"))

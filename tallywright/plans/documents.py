@@ -3,24 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallywright.functions import dates, filters, text
+from tallywright.functions.money import dollars
 from tallywright.operators.numbering import batch_numbers, first_in_group, number_rows, occurrence_count
 from tallywright.operators.reshape import column_widths
+from tallywright.sources.staging import staged
+from tallywright.plans.statements import FAILED, Platform, monthly_charges, payout_statement, summary_statement
 
-# Columns of the export that are text, and those that are numbers.
-TEXT_COLUMNS = (
-    "Merchant ID", "Bank Routing Number", "Bank Account Number", "Contact Phone", "Company Representative Contact",
-    "Primary Contact Phone", "Legal Entity ID", "VAP Submerchant IDs", "Sub-Merchant ID",
-    "Company Representative SSN", "Business Postal Code", "Street Address 1",
-)
-NUMBER_COLUMNS = (
-    "Max Transaction Amount", "Stake Percent", "Annual Sales Volume", "Business Location", "Bank Account",
-)
 MARKER = "n/a"
 
 
@@ -64,46 +59,83 @@ TITLE_ROW, HEADING_ROW, FIRST_DATA_ROW = 7, 9, 10
 CELL_SEPARATOR = "\t"
 
 
+def cell(value: Column, kind: T.DataType) -> Column:
+    """A value as one cell of a line: null is empty, floating-point money has two decimals, and a backslash, tab or line
+    break within a text is written as \\\\, \\t, \\n or \\r, so that it can't shift cells."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = value.cast("decimal(38,2)")
+    shown = F.coalesce(value.cast("string"), F.lit(""))
+    if isinstance(kind, T.StringType):
+        for raw, written in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+            shown = F.replace(shown, F.lit(raw), F.lit(written))
+    return shown
+
+
+# Order columns of sections are of different types; each type has a column of its own in the union of all sections.
+ORDER_KINDS = (
+    (T.IntegralType, "bigint"),
+    (T.DecimalType, "decimal(38,6)"),
+    (T.FractionalType, "double"),
+    ((T.DateType, T.TimestampNTZType, T.TimestampType), "timestamp_ntz"),
+    (T.DataType, "string"),
+)
+
+
+def _ordered(section: Section) -> dict[str, Column]:
+    """The section's order columns under names that tell place and type."""
+    found = {}
+    for place, column in enumerate(section.order_by):
+        kind = next(cast for family, cast in ORDER_KINDS if isinstance(section.rows.schema[column].dataType, family))
+        found[f"_{place}_{kind.partition('(')[0]}"] = F.col(column).cast(kind)
+    return found
+
+
 def statement_pack(
     sections: Sequence[Section],
     targets: DataFrame | None = None,
     letterhead: Sequence[str] = LETTERHEAD,
     id_column: str = "merchant_id",
     name_column: str = "merchant_name",
+    stage: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Statement sheets as lines: (merchant, sheet number, sheet, row, line), cells parted by tabs.
 
-    Every merchant of the first section gets all sheets, even empty ones. A statement stays a set of rows and is
-    never gathered into one value, so a merchant with very many lines is spread over tasks like any other rows.
-    `targets` limits the run to the merchants in its id column.
+    Every merchant of the first section gets all sheets, even empty ones. The rows of all sheets are numbered in one pass.
+    A statement stays a set of rows and is never gathered into one value, so a merchant with very many lines is spread over
+    tasks like any other rows. `targets` limits the run to the merchants in its id column. Numbering reads the rows three
+    times; `stage` may write them once and return what was written.
     """
     first = sections[0].rows
     filters.require_columns(first, [id_column, name_column])
     merchants = first.select(id_column).filter(F.col(id_column).isNotNull()).distinct()
     if targets is not None:
-        merchants = merchants.join(targets.select(id_column).distinct(), id_column, "left_semi")
-    result = None
+        merchants = merchants.join(targets.select(id_column), id_column, "left_semi")
+    top, bodies, order = [], [], {}
     for number, section in enumerate(sections, start=1):
         hidden = () if section.keep_ids else (id_column, name_column)
         shown = [c for c in section.rows.columns if c not in hidden]
-        top = [(i, line) for i, line in enumerate(letterhead, start=1)]
-        top += [(TITLE_ROW, section.title), (HEADING_ROW, CELL_SEPARATOR.join(shown))]
-        heads = merchants.select(
-            id_column,
-            F.explode(
-                F.array(*[F.struct(F.lit(i).cast("long").alias("row_no"), F.lit(t).alias("line")) for i, t in top])
-            ).alias("_top"),
-        ).select(id_column, "_top.*")
-        own = section.rows.join(merchants, id_column, "left_semi")
-        cells = F.concat_ws(CELL_SEPARATOR, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in shown])
-        body = number_rows(own, section.order_by, [id_column], "_place").select(
-            id_column, (F.col("_place") + (FIRST_DATA_ROW - 1)).cast("long").alias("row_no"), cells.alias("line")
+        lines = [*enumerate(letterhead, start=1), (TITLE_ROW, section.title), (HEADING_ROW, CELL_SEPARATOR.join(shown))]
+        top += [
+            F.struct(F.lit(number).alias("section_no"), F.lit(section.title).alias("section"), F.lit(i).cast("long").alias("row_no"), F.lit(t).alias("line"))
+            for i, t in lines
+        ]
+        cells = [cell(F.col(c), section.rows.schema[c].dataType) for c in shown]
+        keys = _ordered(section)
+        order |= dict.fromkeys(sorted(keys))
+        bodies.append(
+            section.rows.select(
+                id_column,
+                F.lit(number).alias("section_no"),
+                F.lit(section.title).alias("section"),
+                F.concat_ws(CELL_SEPARATOR, *cells).alias("line"),
+                *[value.alias(name) for name, value in keys.items()],
+            )
         )
-        sheet = heads.unionByName(body).select(
-            id_column, F.lit(number).alias("section_no"), F.lit(section.title).alias("section"), "row_no", "line"
-        )
-        result = sheet if result is None else result.unionByName(sheet)
-    return result
+    heads = merchants.select(id_column, F.explode(F.array(*top)).alias("_top")).select(id_column, "_top.*")
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), bodies).join(merchants, id_column, "left_semi")
+    body = number_rows(stage(rows), [*sorted(order), "line"], [id_column, "section_no"], "_place")
+    row_no = (F.col("_place") + (FIRST_DATA_ROW - 1)).cast("long").alias("row_no")
+    return heads.unionByName(body.select(id_column, "section_no", "section", row_no, "line"))
 
 
 def statement_file_names(
@@ -145,8 +177,10 @@ class DivisionMail:
 
 @dataclass(frozen=True)
 class DispatchConfig:
+    """Mail settings by division, and the text that follows the salutation."""
+
+    body: str
     divisions: Mapping[str, DivisionMail] = field(default_factory=dict)
-    body: str = "Your account statement is attached. Please let us know if you have any questions."
 
 
 def division_setting(config: DispatchConfig, division: Column, attribute: str) -> Column:
@@ -160,7 +194,7 @@ def valid_recipients(recipients: DataFrame, config: DispatchConfig, attachments:
     known = [name.strip().lower() for name in config.divisions]
     greeting = F.replace(F.element_at(F.split("salutation", ","), 1), F.lit("Dear "), F.lit(""))
     file_name = text.clean_string(text.base_name(F.col("attachment_path")))
-    existing = attachments.select(F.col("path").alias("attachment_path")).distinct()
+    existing = attachments.select(F.col("path").alias("attachment_path"))
     return (
         recipients.withColumn("division", division)
         .filter(F.col("division").isin(known))
@@ -232,6 +266,69 @@ def statement_batches(
     )
 
 
+@dataclass(frozen=True)
+class StatementRun:
+    """What a run of monthly statements makes: pack lines, a file name per merchant, the dispatch and the batches."""
+
+    pack: DataFrame
+    files: DataFrame
+    manifest: DataFrame
+    batches: DataFrame
+
+
+def statement_sections(p: Platform, account_info: DataFrame) -> list[Section]:
+    """The five sheets of a merchant's statement from the statement reports."""
+    summary = summary_statement(p).drop("division_name", "division_id")
+    deposits = payout_statement(p).drop("division_name", "division_id")
+    fees = p.fee_payout.filter(F.col("status") != FAILED).select("merchant_id", F.col("id").alias("fee_payout"), "created_at", dollars(F.col("amount")).alias("amount"))
+    charges = monthly_charges(p).select("merchant_id", "statement_year", "statement_month_sort", "mfp_created_at", "total_charges")
+    return [
+        Section("Account Info", account_info, ["merchant_id", "merchant_name"], keep_ids=True),
+        Section("Summary", summary, ["mfp_created_at", "mp_id"]),
+        Section("Deposit Detail", deposits, ["mp_created_at", "mp_id", "mfp_created_at"]),
+        Section("Platform Fees", fees, ["created_at", "fee_payout"]),
+        Section("Charges", charges, ["mfp_created_at"]),
+    ]
+
+
+def statement_run(
+    p: Platform,
+    account_info: DataFrame,
+    recipients: DataFrame,
+    config: DispatchConfig,
+    folder: str,
+    period_start: dt.date,
+    period_end: dt.date,
+    staging_path: str,
+    run_id: str,
+    targets: DataFrame | None = None,
+    today: Column | None = None,
+    settings: BatchSettings = BatchSettings(),
+) -> StatementRun:
+    """A whole run: the statement reports become the packs' sheets, each pack gets its file name, and the files of this run
+    are the attachments of its mails. `folder` is where the documents will stand; a recipient's own path is not used. The
+    rows of all sheets are worked out once, now, and staged under the run's id."""
+    pack = statement_pack(statement_sections(p, account_info), targets, stage=lambda rows: staged(rows, staging_path, run_id))
+    files = run_files(account_info, folder, targets, settings)
+    manifest = run_manifest(recipients, config, files, today)
+    batches = statement_batches(files, period_start, period_end, settings)
+    return StatementRun(pack, files, manifest, batches)
+
+
+def run_files(account_info: DataFrame, folder: str, targets: DataFrame | None = None, settings: BatchSettings = BatchSettings()) -> DataFrame:
+    """The file name, path and batch of each merchant of a run."""
+    path = F.concat(F.lit(folder.rstrip("/") + "/"), "file_name", F.lit(".pdf"))
+    names = statement_file_names(account_info, targets).select("merchant_id", "file_name", path.alias("path"))
+    return batch_numbers(names, ["merchant_id"], settings.size)
+
+
+def run_manifest(recipients: DataFrame, config: DispatchConfig, files: DataFrame, today: Column | None = None) -> DataFrame:
+    """The dispatch of a run: each recipient gets the file of their merchant."""
+    paths = files.select("merchant_id", F.col("path").alias("attachment_path"))
+    addressed = recipients.drop("attachment_path").join(paths, "merchant_id")
+    return dispatch_manifest(addressed, config, files.select("path"), today)
+
+
 def run_estimate(merchants: DataFrame, settings: BatchSettings = BatchSettings()) -> DataFrame:
     """Merchants, batches and the minutes the waits of a run add up to, rounded up."""
     batches = F.ceil(F.col("merchant_count") / settings.size)

@@ -51,7 +51,12 @@ PERIOD_LABELS = {
 ORACLES: dict[str, str] = {}
 
 
+#: The same without the definitions of the logical tables, for queries that build on others.
+ORACLE_BODIES: dict[str, str] = {}
+
+
 def add(name: str, sql: str) -> None:
+    ORACLE_BODIES[name] = sql.strip()
     ORACLES[name] = oracle(sql)
 
 
@@ -672,6 +677,80 @@ from ({" union all ".join(_parts)})
 """,
 )
 
+
+
+def _cells(columns: str) -> str:
+    """Values of a line parted by tabs; those marked $ are money with two decimals."""
+    one = lambda c: f"cast(cast({c[1:]} as varchar) as decimal(38,2))" if c[0] == "$" else c
+    return " || chr(9) || ".join(f"coalesce(cast({one(c)} as varchar), '')" for c in columns.split(", "))
+
+
+_month = f"({_month_label('(c.fee_month - interval 1 month)')})"
+_run_sheets = [
+    ("Account Info", "merchant_id, merchant_name", f"select merchant_id as m, {_cells('merchant_id, merchant_name')} as cells, merchant_name as o1, '' as o2, '' as o3 from account_info"),
+    ("Summary", "mp_id, mfp_created_at, txn_count, gross_volume, reversal_count, reversal_amount, revenue, total_charges",
+     f"select merchant_id as m, {_cells('mp_id, mfp_created_at, txn_count, $gross_volume, reversal_count, $reversal_amount, $revenue, $total_charges')} as cells, mfp_created_at as o1, mp_id as o2, '' as o3 from by_summary"),
+    ("Deposit Detail", "mp_id, mfp_created_at, mp_created_at, txn_count, txn_volume, reversal_count, reversal_amount, fees, adjusted_mp_amount",
+     f"select merchant_id as m, {_cells('mp_id, mfp_created_at, mp_created_at, txn_count, $txn_volume, reversal_count, $reversal_amount, $fees, $adjusted_mp_amount')} as cells, mp_created_at as o1, mp_id as o2, mfp_created_at as o3 from by_payout"),
+    ("Platform Fees", "fee_payout, created_at, amount",
+     f"select merchant_id as m, {_cells('id, created_at, $amount / 100e0')} as cells, created_at as o1, id as o2, '' as o3 from mfp where status <> 'FAILED'"),
+    ("Charges", "statement_year, statement_month_sort, mfp_created_at, total_charges",
+     f"select merchant_id as m, {_cells('y, label, fee_month, $total')} as cells, fee_month as o1, '' as o2, '' as o3 from "
+     f"(select *, year(c.fee_month - interval 1 month) as y, {_month} as label, c.cents / 100e0 as total from charged c)"),
+]
+_run_parts = []
+for _no, (_title, _names_, _rows) in enumerate(_run_sheets, start=1):
+    for _row, _text in [*_head, (7, _title), (9, _names_)]:
+        _line = f"replace('{_text}', ', ', chr(9))" if _row == 9 else f"'{_text}'"
+        _run_parts.append(f"select m, {_no} as section_no, '{_title}' as section, {_row} as row_no, {_line} as line from wanted")
+    _run_parts.append(
+        f"select r.m, {_no}, '{_title}', 9 + row_number() over (partition by r.m order by r.o1 nulls first, r.o2 nulls first, "
+        f"r.o3 nulls first, r.cells), r.cells from ({_rows}) r where r.m in (select m from wanted)"
+    )
+CHARGED = """
+charged as (
+    select f.merchant_id, date_trunc('month', f.created_at) as fee_month, cast(sum(coalesce(g.amount, 0)) as bigint) as cents
+    from mfp f
+    left join mfpmp l on l.merchant_fee_payout_id = f.id
+    left join merchant_payout q on q.id = l.merchant_payout_id
+    left join mpc r on r.merchant_payout_id = q.id
+    left join charge g on g.id = r.charge_id
+    where f.status <> 'FAILED' group by all
+)
+"""
+_body = lambda name: ORACLE_BODIES[name]
+
+add(
+    "statement_run_pack",
+    f"""
+with wanted as (select distinct merchant_id as m from account_info),
+by_summary as ({_body("stmt_summary_level")}),
+by_payout as ({_body("stmt_payout_level")}),
+{CHARGED}
+select m as merchant_id, cast(section_no as int) as section_no, section, cast(row_no as bigint) as row_no, line
+from ({" union all ".join(_run_parts)})
+""",
+)
+
+_run_files = r"""
+named as (
+    select merchant_id, regexp_replace(min(merchant_name), '[<>:"/\\|?*]', '', 'g') as base from account_info group by 1
+),
+files as (
+    select merchant_id, base || case when count(*) over (partition by base) = 1 then '' else '_' || merchant_id end || '_Statement' as file_name,
+        (row_number() over (order by merchant_id) - 1) // 10 + 1 as batch_no
+    from named
+)
+"""
+
+add(
+    "statement_run_files",
+    f"""
+with {_run_files}
+select merchant_id, file_name, '/run/' || file_name || '.pdf' as path, cast(batch_no as bigint) as batch_no from files
+""",
+)
+
 add(
     "statement_file_names",
     r"""
@@ -705,13 +784,38 @@ valid as (
             lower(trim(regexp_replace(replace(split_part(r.salutation, ',', 1), 'Dear ', ''), '[^a-zA-Z0-9\\s]', '', 'g'))))
 )
 select v.sheet_row, v.merchant_id, v.email as recipient, v.division, m.subject || ' DEC 2024' as subject, m.sender, m.bcc,
-    v.salutation || chr(10) || chr(10) || 'Your account statement is attached. Please let us know if you have any questions.'
+    v.salutation || chr(10) || chr(10) || 'The statement of the month is attached.'
         as body,
     v.attachment_path, v.sheet_row = min(v.sheet_row) over (partition by v.division) as is_review_draft, m.action
 from valid v join mail m on m.division = v.division
 """,
 )
 
+add(
+    "statement_run",
+    f"""
+with {_run_files},
+mail(division, subject, sender, bcc, action) as (values {", ".join(
+        f"('{d}', '{u}', '{n}', cast({b} as varchar), '{a}')" for d, u, n, b, a in _mail
+    )}),
+sent as (
+    select r.sheet_row, r.merchant_id, r.email, replace(r.salutation, 'Shop ', 'Shop') as salutation,
+        '/run/' || g.file_name || '.pdf' as attachment_path, lower(trim(r.division)) as division
+    from recipients r join files g on g.merchant_id = r.merchant_id
+),
+valid as (
+    select * from sent
+    where contains(
+        lower(trim(regexp_replace(regexp_extract(attachment_path, '[^/]*$'), '[^a-zA-Z0-9\\s]', '', 'g'))),
+        lower(trim(regexp_replace(replace(split_part(salutation, ',', 1), 'Dear ', ''), '[^a-zA-Z0-9\\s]', '', 'g'))))
+)
+select v.sheet_row, v.merchant_id, v.email as recipient, v.division, m.subject || ' DEC 2024' as subject, m.sender, m.bcc,
+    v.salutation || chr(10) || chr(10) || 'The statement of the month is attached.' as body, v.attachment_path,
+    v.sheet_row = min(v.sheet_row) over (partition by v.division) as is_review_draft, m.action
+from valid v join mail m on m.division = v.division
+""",
+)
+
 add(
     "statement_batches",
     f"""

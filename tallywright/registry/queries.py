@@ -23,6 +23,7 @@ from tallywright.operators import (
 from tallywright.plans import documents, fees, franchise, ledgers, statements, stores
 from tallywright.registry import settings as s
 from tallywright.registry.views import LogicalTables
+from tallywright.sources.staging import new_run_id, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -257,6 +258,27 @@ def statement_pack(t):
     return documents.statement_pack(_sections(t))
 
 
+@query
+def statement_run(t):
+    salutation = F.replace(F.col("salutation"), F.lit("Shop "), F.lit("Shop"))  # as the file names have it
+    files = documents.run_files(t.account_info, "/run")
+    return documents.run_manifest(t.recipients.withColumn("salutation", salutation), s.DISPATCH, files, F.lit(s.TODAY))
+
+
+@query
+def statement_run_files(t):
+    return documents.run_files(t.account_info, "/run")
+
+
+@query
+def statement_run_pack(t):
+    staging_path = f"{shared_folder(t.spark)}/statement-staging"
+    run = documents.statement_run(
+        _platform(t), t.account_info, t.recipients, s.DISPATCH, "/run", s.START, s.END, staging_path, new_run_id()
+    )
+    return run.pack
+
+
 @query
 def statement_file_names(t):
     return documents.statement_file_names(t.account_info)

@@ -21,6 +21,7 @@ BRAND = StoreParams(brand_ids="all", mixed_chain_id=6, skipped_chain_ids=(2,))
 FRANCHISE = FranchiseParams(start=START, end=END)
 
 DISPATCH = DispatchConfig(
+    body="The statement of the month is attached.",
     divisions={
         "diva": DivisionMail("Account Statement - A Payments", "payments@a.example", send=True),
         "divb": DivisionMail("Account Statement - B Payments", "payments@b.example", bcc="copy@b.example"),

@@ -135,7 +135,7 @@ def test_slices_follow_the_keys(spark, name):
     df = spark.range(20011).select(F.expr(key).cast(kind).alias("k"), "id").repartition(7)
     per_slice = with_slices(df, ["k", "id"], "s").groupBy("s").agg(F.count("*").alias("n"), F.min(F.struct("k", "id")).alias("a"), F.max(F.struct("k", "id")).alias("z"))
     cut = per_slice.orderBy("s").collect()
-    assert 1000 < len(cut) <= SLICES and max(r.n for r in cut) < 60
+    assert 300 < len(cut) <= SLICES and max(r.n for r in cut) < 600
     order = lambda r: (r.k is not None, r.k if r.k is not None else 0, r.id)
     assert all(order(x.z) < order(y.a) for x, y in zip(cut, cut[1:]))
     numbered = sorted((r.n, *order(r)) for r in number_rows(df, ["k", "id"], name="n").collect())
@@ -145,7 +145,13 @@ def test_slices_follow_the_keys(spark, name):
 def test_bounds_are_the_same_each_time(spark):
     df = spark.range(50000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"))
     first = slice_bounds(df.repartition(3), ["k"]).first()
-    assert first == slice_bounds(df.repartition(11), ["k"]).first()
+    assert first == slice_bounds(df.repartition(11), ["k"]).first() and len(set(first.bounds)) > 1000
+
+
+def test_slices_of_many_keys_are_all_used(spark):
+    df = spark.range(600_000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"))
+    sizes = [r["count"] for r in with_slices(df, ["k"], "s").groupBy("s").count().collect()]
+    assert 4000 < len(sizes) <= SLICES and max(sizes) < 2000
 
 
 def test_rows_that_tie_and_no_rows(spark):

@@ -394,8 +394,21 @@ def test_statement_pack(spark):
     assert {r.merchant_id for r in only.collect()} == {"m2"}
 
 
+def test_pack_cells_stay_in_place(spark):
+    """Tabs, line breaks and backslashes are written out; order columns of any type number the rows of all sheets."""
+    info = spark.createDataFrame([("m1", "A\tB\\n\r\nC")], "merchant_id string, merchant_name string")
+    data = [("m1", 10, 1.5, dt.date(2024, 1, 2)), ("m1", 9, 2.005, dt.date(2024, 1, 2)), ("m1", None, None, None), ("m1", 9, 0.1, dt.date(2023, 1, 2))]
+    rows = spark.createDataFrame(data, "merchant_id string, n long, v double, d date")
+    sections = [documents.Section("Account Info", info, ["merchant_id"], keep_ids=True), documents.Section("Rows", rows, ["d", "n"])]
+    sections += [documents.Section("Again", rows, ["n", "v"])]
+    found = {(r.section_no, r.row_no): r.line for r in documents.statement_pack(sections).collect()}
+    assert found[1, 10] == "m1\tA\\tB\\\\n\\r\\nC"
+    assert [found[2, n] for n in range(10, 14)] == ["\t\t", "9\t0.10\t2023-01-02", "9\t2.01\t2024-01-02", "10\t1.50\t2024-01-02"]
+    assert [found[3, n].split("\t")[0] for n in range(10, 14)] == ["", "9", "9", "10"]
+
+
 def test_manifest(spark):
-    config = documents.DispatchConfig({"DivA": documents.DivisionMail("Statement", "a@x", send=True), "divb": documents.DivisionMail("S", "b@x", bcc="c@x")})
+    config = documents.DispatchConfig("See the file.", {"DivA": documents.DivisionMail("Statement", "a@x", send=True), "divb": documents.DivisionMail("S", "b@x", bcc="c@x")})
     rows = [
         (2, "m1", "1@x", "Dear A. Shop, hi", "/o/A Shop_Statement.pdf", " DivA "),
         (3, "m2", "2@x", "Dear A. Shop, hi", "/o/A Shop_Statement.pdf", "nowhere"),
@@ -409,7 +422,7 @@ def test_manifest(spark):
     manifest = documents.dispatch_manifest(recipients, config, files, F.lit(dt.date(2025, 1, 15)))
     found = {r.merchant_id: r for r in manifest.collect()}
     assert {m: (r.is_review_draft, r.action, r.bcc) for m, r in found.items()} == {"m1": (True, "send", None), "m5": (False, "send", None), "m6": (True, "draft", "c@x")}
-    assert found["m1"].subject == "Statement DEC 2024" and found["m1"].body.startswith("Dear A. Shop, hi\n\nYour account")
+    assert found["m1"].subject == "Statement DEC 2024" and found["m1"].body == "Dear A. Shop, hi\n\nSee the file."
     assert sorted(tuple(r) for r in documents.dispatch_totals(manifest).collect()) == [("diva", "send", 2), ("divb", "draft", 1)]
 
 
