@@ -63,16 +63,32 @@ def unpivot_present(
     return df.unpivot(list(ids), list(columns), label, amount).filter(F.col(amount).isNotNull())
 
 
+#: Columns a pivot may get from the data.
+MOST_LABELS = 2000
+
+
+def distinct_labels(df: DataFrame, label: str, most: int = MOST_LABELS) -> list:
+    """The label's values in order; more than `most` are an error. No more than one beyond that are fetched."""
+    found = [row[0] for row in df.select(label).filter(F.col(label).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{label} has more than {most} values")
+    return sorted(found)
+
+
 def pivot_sums(
-    df: DataFrame, ids: Sequence[str], label: str, amount: str, values: Sequence[str] | None = None
+    df: DataFrame,
+    ids: Sequence[str],
+    label: str,
+    amount: str,
+    values: Sequence[str] | None = None,
+    most: int = MOST_LABELS,
 ) -> DataFrame:
     """Sum per id row with one column per label value.
 
-    With no list the values are read from the data first, which costs a job; labels are an enumeration, so few.
+    With no list the values are read from the data first, which costs a job; there may be no more than `most`.
     """
     if values is None:
-        found = df.select(label).filter(F.col(label).isNotNull()).distinct().sort(label).collect()
-        values = [row[0] for row in found]
+        values = distinct_labels(df, label, most)
     reduced = df.groupBy(*ids, label).agg(F.sum(amount).alias(amount))
     return reduced.groupBy(*ids).pivot(label, list(values)).agg(F.sum(amount))
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallywright.functions import dates, filters, text
 from tallywright.functions.money import fixed_point, money_text, sum_when, zero_if_null
 from tallywright.operators.rangesums import tagged_range_sums
-from tallywright.operators.reshape import pivot_sums, unpivot_present
+from tallywright.operators.reshape import distinct_labels, pivot_sums, unpivot_present
 from tallywright.plans.stores import accrued
 
 STORE_TYPE = 3
@@ -409,7 +409,7 @@ def listed(category: Column, categories: Sequence[str]) -> Column:
 
 def known_categories(f: Franchise) -> list[str]:
     """The fixed categories plus those named in the fee-category enumeration, without doubles in another spelling."""
-    names = [row[0] for row in f.fee_category.select(F.rtrim("Name").alias("Name")).filter("Name is not null").distinct().collect()]
+    names = distinct_labels(f.fee_category.select(F.rtrim("Name").alias("Name")), "Name")
     found = {c.lower(): c for c in reversed((*CATEGORIES, *sorted(names), *sorted(n + "adj" for n in names)))}
     return sorted(found.values())
 

@@ -87,7 +87,8 @@ class BackOffice:
 
 @dataclass(frozen=True)
 class StoreParams:
-    """Filters of the store dimension; None means no filter, except that statuses fall back to the reported ones."""
+    """Filters of the store dimension; None means no filter, except that statuses fall back to the reported ones. Lists of
+    ids may be given as text, separated by commas."""
 
     remit_groups: Sequence[int] | str | None = None
     default_group: int = -1
@@ -109,6 +110,12 @@ class StoreParams:
     rebate_rules: Sequence[RebateRule] = REBATE_RULES
     state_codes: Mapping[str, str] = field(default_factory=lambda: dict(STATE_CODES))
 
+    def __post_init__(self) -> None:
+        for name in ("remit_groups", "brand_ids", "skipped_chain_ids", "statuses", "site_types"):
+            value = getattr(self, name)
+            if value not in (ALL_GROUPS, ANY_COMPANY):
+                object.__setattr__(self, name, text.number_list(value))
+
 
 def _brand_case(rules: Sequence[BrandRule], value: str, location: Column, chain: Column, otherwise: Column) -> Column:
     result = None

@@ -1195,6 +1195,14 @@ from general_prefs
 )
 add("list_parameter", 'select StoreID as "StoreID", Status as "Status" from stores where Status in (1, 3, 9)')
 _c, _d = "created_at", "cast(created_at as date)"
+add(
+    "list_relation",
+    """
+select o.StoreID as "StoreID", o.Status as "Status", cast(k.place as bigint) as place
+from stores o join (values (9, 1), (1, 2), (3, 3)) k(id, place) on k.id = o.Status
+""",
+)
+
 add(
     "date_expressions",
     f"""

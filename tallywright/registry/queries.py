@@ -494,13 +494,15 @@ def agg_expr_key(t):
 
 @query
 def agg_fanout_ratio(t):
+    # the bridge is added up per transaction first, where equal rows meet, then per payout: a hot payout is reduced before it
+    # is gathered, and the payouts join one row each
+    per_txn = t.mpt.groupBy("merchant_payout_id", "transaction_id").agg(F.count(F.lit(1)).alias("rows"))
+    bridge = per_txn.groupBy("merchant_payout_id").agg(F.sum("rows").alias("rows"), F.count("transaction_id").alias("n"))
     paid = t.merchant_payout.select(F.col("id").alias("merchant_payout_id"), "gross_amount")
-    totals = (
-        paid.join(t.mpt, "merchant_payout_id", "left")
-        .groupBy("merchant_payout_id")
-        .agg(F.sum("gross_amount").alias("repeated"), F.countDistinct("transaction_id").alias("n"))
-    )
-    return totals.select("merchant_payout_id", money.ratio(money.dollars(F.col("repeated")), F.col("n")).alias("adjusted"))
+    joined = paid.join(bridge, "merchant_payout_id", "left")
+    repeated = F.col("gross_amount") * F.coalesce("rows", F.lit(1))
+    count = F.coalesce("n", F.lit(0))
+    return joined.select("merchant_payout_id", money.ratio(money.dollars(repeated), count).alias("adjusted"))
 
 
 @query
@@ -513,7 +515,7 @@ def agg_decimal(t):
 
 @query
 def agg_string_list(t):
-    return t.settlement_log_fee.select(text.listed(F.col("FeeName")).alias("fee_names"))
+    return text.listed_values(t.settlement_log_fee, [], "FeeName", "fee_names")
 
 
 @query
@@ -633,7 +635,7 @@ def top_1(t):
 
 @query
 def sort_in_list(t):
-    return t.reconcile_fee.groupBy("CoreId").agg(text.listed(F.col("FeeName"), ", ").alias("fees"))
+    return text.listed_values(t.reconcile_fee, ["CoreId"], "FeeName", "fees", ", ")
 
 
 @query
@@ -685,6 +687,13 @@ def list_parameter(t):
     return t.stores.filter(filters.in_if_set(F.col("Status"), wanted)).select("StoreID", "Status")
 
 
+@query
+def list_relation(t):
+    wanted = text.list_relation(t.spark, " 9, 1,,3 ,1, ", "status")
+    statuses = wanted.select(F.col("status").cast("int").alias("Status"), F.col("place").cast("long").alias("place"))
+    return t.stores.select("StoreID", "Status").join(statuses, "Status")
+
+
 @query
 def date_expressions(t):
     c = F.col("created_at")

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
+from tallywright.functions import text
 from tallywright.operators import (
     batch_numbers,
     column_widths,
@@ -22,6 +23,7 @@ from tallywright.operators import (
     unpivot_present,
 )
 from tallywright.operators.rangesums import covered_days
+from tallywright.plans import stores
 from tallywright.operators.numbering import SLICES, slice_bounds, with_slices
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -240,3 +242,29 @@ def test_flags_and_counts(spark):
 def test_column_widths(spark):
     df = spark.createDataFrame([("g", "abcdef", 1.5), ("h", "a", None)], "g string, name string, x double")
     assert rows(column_widths(df, ["g"], ["name", "x"])) == [("g", 8, 5), ("h", 6, 3)]
+
+
+def test_bounded_lists(spark):
+    df = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", "y"), ("a", None), ("b", None), ("c", "z")], "g string, v string")
+    assert rows(text.listed_values(df, ["g"], "v", "l", "; ", most=2)) == [("a", "x; y"), ("b", ""), ("c", "z")]
+    assert text.listed_values(df, [], "v", "l", most=3).first().l == "x,y,z"
+    assert text.listed_values(df.limit(0), [], "v", "l").first().l == ""
+    with pytest.raises(Exception, match="more than 1 values of v in one list"):
+        text.listed_values(df, ["g"], "v", "l", most=1).collect()
+    plan = text.listed_values(df, ["g"], "v", "l", most=2)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan  # a task sends no more than the bound of each group
+
+
+def test_bounded_labels(spark):
+    df = spark.range(12).select((F.col("id") % 2).alias("k"), F.concat(F.lit("c"), F.col("id") % 4).alias("l"), "id")
+    assert pivot_sums(df, ["k"], "l", "id", most=4).columns == ["k", "c0", "c1", "c2", "c3"]
+    with pytest.raises(ValueError, match="more than 3 values"):
+        pivot_sums(df, ["k"], "l", "id", most=3)
+
+
+def test_list_relation(spark):
+    found = lambda param: [tuple(r) for r in text.list_relation(spark, param).orderBy("place").collect()]
+    assert found(" b, a,,b , c a,") == [("b", 1), ("a", 2), ("c a", 3)] and found(" , ") == [] == found("")
+    assert text.split_list(" b, a,,b ") == ["b", "a"] and text.number_list("3, 1,3") == (3, 1) and text.number_list(None) is None
+    params = stores.StoreParams(remit_groups="5, 6", statuses="1,2", site_types=(3,), brand_ids="all")
+    assert (params.remit_groups, params.statuses, params.site_types, params.brand_ids) == ((5, 6), (1, 2), (3,), "all")

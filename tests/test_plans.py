@@ -39,6 +39,9 @@ def test_shape_without_broadcast(no_broadcast, sf_dir, name):
         ("profitability_daily", "lineitem", 1),
         ("store_accrual_balance", "orders", 0),
         ("agg_count_distinct", "orders", 1),
+        ("ff_settlement_wide", "lineitem", 4),  # settlement log as rows and as dated facts, fees, adjustments
+        ("franchise_fee_staging", "lineitem", 9),
+        ("profitability_daily", "customer", 8),  # the entity tree once
         ("stmt_payout_level", "lineitem", 2),  # transactions and their bridge, once each
         ("fee_profiles", "orders", 0),
     ],
@@ -53,6 +56,14 @@ def test_distinct_count_needs_no_second_shuffle_of_transactions(no_broadcast, sf
     assert len(re.findall(r"Exchange hashpartitioning\(bridge_txn_id|Exchange hashpartitioning\(totals_mp_id#\d+, bridge_txn_id", plan)) == 1
 
 
+def test_a_hot_payout_is_reduced_before_it_is_gathered(no_broadcast, sf_dir):
+    """The bridge reaches the payout's key as partial sums; no join or window takes its rows there."""
+    plan = physical(QUERIES["agg_fanout_ratio"](no_broadcast, sf_dir))
+    assert plan.count("partial_sum") == 1 and "Window" not in plan
+    join = plan.index("SortMergeJoin")
+    assert plan[join:].count("HashAggregate") >= 4
+
+
 def test_only_needed_columns_are_scanned(spark, sf_dir):
     plan = physical(QUERIES["semi_join"](spark, sf_dir))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
