@@ -2,21 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-FOLDER = "spark.checkpoint.dir"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only where none is set (tests, a local session) a temporary one is made and set."""
-    folder = spark.conf.get(FOLDER, None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="tallywright-")
-        spark.conf.set(FOLDER, folder)
-    return folder.rstrip("/")
+from tallywright.sources.staging import shared_folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
