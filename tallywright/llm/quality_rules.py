@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .storage import written
 from .words import encoded
 
 SYMBOLS = b"#*$%&|<>"
@@ -188,7 +189,9 @@ def judged(measured_docs: DataFrame, rules: Rules = Rules(), limits: DataFrame |
 
 
 def kept_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The documents that pass, with their own columns. The counts are taken twice, for the sketches and for the verdict:
-    that costs less than a shuffle or a copy of all texts."""
-    frame = docs.withColumn("_row", F.struct(*(F.col(f"`{c}`") for c in docs.columns))).select("_row", "text", "lang", "source")
-    return judged(measured(frame, rules), rules).where("kept").select("_row.*")
+    """The documents that pass, with their own columns. Writes now: the documents with their counts, once, so that texts are
+    counted once and never shuffled, and the fences, whose few rows meet the documents where they stand."""
+    frame = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text", "lang", "source")
+    counted = written(measured(frame, rules).drop("text"), "quality-counts")
+    limits = written(fences(counted.drop("_row"), rules), "quality-fences")
+    return judged(counted, rules, limits).where("kept").select("_row.*")

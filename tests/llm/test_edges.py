@@ -66,6 +66,23 @@ def test_quality_rules(docs, none):
     assert quality_rules.kept_documents(none).count() == 0
 
 
+def test_quality_stage_counts_once(spark, sf_dir):
+    """One pass of Python over the texts, and no shuffle of texts: the verdicts are those of the query."""
+    from tallywright.llm.queries import QUERIES
+
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        kept = quality_rules.kept_documents(table)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "ArrowEvalPython" not in plan and "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    verdicts = QUERIES["op8_quality_rules"](spark, sf_dir).where("kept").select("doc_id")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in verdicts.collect())
+    assert kept.columns == table.columns
+
+
 def test_line_chunks(docs, none):
     rows = line_dedup.deduplicated(docs).collect()
     assert len(rows) == len(ROWS)
