@@ -5,10 +5,17 @@ written in full, the others as revisits that name it; smaller payloads are alway
 own files under names that no other attempt uses, and reports them; the report, written once, is the manifest. What a lost
 or repeated attempt leaves behind is in no manifest and is never read.
 
-Reading: a range of bytes owns the records that start in it. A task looks for the gzip magic from the start of its range,
-takes a place for a member only if everything from there on to the end of the range decodes member by member - gzip check
-sum, WARC version line, content length and closing blank lines, then the magic of the next member or the end of the file -
-and reads its last record past the end of the range. So bytes that look like a member inside a payload are no record.
+Reading: a range of bytes owns the records that start in it. A task looks for the gzip magic from the start of its range and
+takes a place for a member if it decodes - gzip check sum, WARC version line, content length and closing blank lines - and if
+members follow one another from there on over 64 KB or to the archive's end. Members inside a payload can't do that: only
+stored blocks of a gzip member hold bytes as they are, and those are shorter. Where a member decodes but no such row follows,
+there is a payload of that kind or damage, and the task walks the archive from its start instead. It reads its last record
+past the end of the range and looks whether a member follows there.
+
+Damage is never passed over in silence: where a member should stand and none decodes, the task whose records lead there
+raises an error, or, if asked to, gives a row of type `damaged` with the bytes skipped and goes on with the next member that
+decodes. `shortfall` compares what was read with the manifest. Versions 1.0 and 1.1 are read; records of other types than
+response and revisit are checked and left out. Payload digests are checked if they are SHA-1, and worked out if there are none.
 
 Archives are reached through `pyarrow.fs`, which knows local, S3, GCS and (with libhdfs) HDFS paths.
 
@@ -35,14 +42,20 @@ from .storage import new_path, written
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
+VERSIONS = (b"WARC/1.0", VERSION)
 READ_AT_ONCE = 1 << 18
+#: More bytes than a stored block of a gzip member can hold (65,535).
+PROOF = 1 << 16
 #: Fixed values of the format.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RESPONSE_TYPE = "application/http; msgtype=response"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 DATE = "1970-01-01T00:00:00Z"
 
-RECORDS = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
+RECORDS = (
+    "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, "
+    "path string, at long"
+)
 
 
 def planned(pages: DataFrame, least: int = 1000) -> DataFrame:
@@ -86,30 +99,48 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return gzip.compress(VERSION + b"\r\n" + lines + b"\r\n" + block + b"\r\n\r\n", 6, mtime=0)
 
 
+def _sha1(label: bytes) -> str | None:
+    """A SHA-1 digest of either notation in hexadecimal digits; None if the label is of another kind."""
+    kind, _, value = label.decode("ascii", "replace").rpartition(":")
+    if kind.lower() not in ("", "sha1"):
+        return None
+    if len(value) == 40:
+        return value.lower()
+    try:
+        return base64.b32decode(value.upper()).hex() if len(value) == 32 else None
+    except ValueError:
+        return None
+
+
 def parsed(data: bytes) -> dict[str, object] | None:
-    """The record in a member's data; None if it isn't a whole WARC record."""
+    """The record in a member's data; None if it isn't a whole WARC record. Only `record_type` for types that are left out."""
     head, blank, rest = data.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
-    if not blank or lines[0] != VERSION:
+    if not blank or lines[0] not in VERSIONS:
         return None
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(b":") for line in lines[1:])}
     length = fields.get(b"content-length", b"")
     if not length.isdigit() or len(rest) != int(length) + 4 or rest[-4:] != b"\r\n\r\n":
         return None
-    http, _, payload = rest[:-4].partition(b"\r\n\r\n")
-    kind = fields.get(b"warc-type", b"").decode()
-    digest = base64.b32decode(fields[b"warc-payload-digest"].rpartition(b":")[2]).hex()
-    told = next((int(v) for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")) if k.lower() == b"content-length"), None)
+    kind = fields.get(b"warc-type", b"").decode("ascii", "replace").lower()
+    if kind not in ("response", "revisit"):
+        return {"record_type": kind}
+    is_http = fields.get(b"content-type", RESPONSE_TYPE.encode()).lower().startswith(b"application/http")
+    http, _, payload = rest[:-4].partition(b"\r\n\r\n") if is_http else (b"", b"", rest[:-4])
+    digest = _sha1(fields.get(b"warc-payload-digest", b"?:"))
+    sizes = (v for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")) if k.lower() == b"content-length")
+    told = next((int(v) for v in sizes if v.strip().isdigit()), None)
     if kind == "response":
-        if hashlib.sha1(payload).hexdigest() != digest:
-            raise ValueError(f"the payload of {fields[b'warc-record-id']!r} does not have its digest")
-        told = len(payload)
+        found = hashlib.sha1(payload).hexdigest()
+        if digest not in (None, found):
+            raise ValueError(f"the payload of {fields.get(b'warc-record-id')!r} does not have its digest")
+        told, digest = len(payload), found
     number = lambda name: (lambda t: int(t) if t.lstrip("-").isdigit() else None)(
-        fields.get(name, b"").strip(b"<>").rpartition(b":")[2].decode()
+        fields.get(name, b"").strip(b"<>").rpartition(b":")[2].decode("ascii", "replace")
     )
     return {
         "page_id": number(b"warc-record-id"),
-        "url": fields.get(b"warc-target-uri", b"").decode("utf-8", "surrogatepass"),
+        "url": fields.get(b"warc-target-uri", b"").strip(b"<>").decode("utf-8", "replace"),
         "record_type": kind,
         "refers_to": number(b"warc-refers-to"),
         "payload_bytes": told,
@@ -168,57 +199,92 @@ class Archive:
                     return None
                 parts.append(unpack.decompress(data))
                 place += len(data)
-                if not VERSION.startswith(parts[0][: len(VERSION)]):
+                start = parts[0][: len(VERSION)]
+                if not any(version.startswith(start) for version in VERSIONS):
                     return None
         except zlib.error:
             return None
         return b"".join(parts), place - len(unpack.unused_data)
 
     def record(self, at: int) -> tuple[dict[str, object], int] | None:
+        """The record at the place and where the next begins."""
         found = self.member(at)
         if found is None or (values := parsed(found[0])) is None:
             return None
-        self.file.seek(found[1])
-        if found[1] < self.size and self.file.read(len(MAGIC)) != MAGIC:
-            return None
         return values, found[1]
 
-    def holds(self, at: int, end: int) -> bool:
-        """Whether records follow one another from the place to the end of the range."""
-        while at < end:
-            found = self.record(at)
-            if found is None:
-                return False
-            at = found[1]
-        return True
-
-    def first(self, start: int, end: int) -> int | None:
-        """The first place in the range at which a record starts."""
+    def _places(self, start: int, end: int) -> Iterator[int]:
+        """Places of the gzip magic."""
         at = start
         while at < end:
             self.file.seek(at)
             data = self.file.read(min(READ_AT_ONCE, end - at) + len(MAGIC) - 1)
             found = data.find(MAGIC)
             while found >= 0:
-                if at + found < end and self.holds(at + found, end):
-                    return at + found
+                if at + found < end:
+                    yield at + found
                 found = data.find(MAGIC, found + 1)
             at += READ_AT_ONCE
-        return None
 
-    def owned(self, start: int, end: int) -> Iterator[dict[str, object]]:
-        at = 0 if start == 0 else self.first(start, end)
-        while at is not None and at < min(end, self.size):
+    def _chain(self, place: int) -> tuple[list[tuple[int, dict[str, object], int]], bool]:
+        """Records that follow one another from the place over `PROOF` bytes, as (place, record, next place), and whether
+        they reach as far, or to the end of the archive."""
+        at, kept = place, []
+        while at < min(place + PROOF, self.size):
             found = self.record(at)
             if found is None:
-                raise ValueError(f"no record at byte {at}")
-            yield found[0]
+                return kept, False
+            kept.append((at, *found))
             at = found[1]
-
-
-def read_archives(manifest: DataFrame, range_bytes: int = 8 << 20, payloads: bool = True) -> DataFrame:
+        return kept, True
+
+    def _next(self, at: int) -> int:
+        """The next place behind a damaged one at which a record decodes; the size if there is none."""
+        return next((place for place in self._places(at + 1, self.size) if self.record(place)), self.size)
+
+    def _first(self, start: int, end: int) -> tuple[int | None, list[tuple[int, dict[str, object], int]]]:
+        """The first place in the range at which a record starts, and records known from there on."""
+        for place in self._places(start, end):
+            kept, proved = self._chain(place)
+            if proved:
+                return place, kept
+            if kept:
+                break
+        else:
+            return None, []
+        # a payload that holds members, or damage: the way from the start of the archive tells which
+        at = 0
+        while at < start:
+            found = self.record(at)
+            at = found[1] if found else self._next(at)
+        return (at if at < end else None), []
+
+    def owned(self, start: int, end: int, damage: str = "raise") -> Iterator[tuple[int, dict[str, object]]]:
+        """(place, record) of the records that start in the range."""
+        at, kept = (0, []) if start == 0 else self._first(start, end)
+        known = iter(kept)
+        while at is not None and at < self.size:
+            held = next(known, None)
+            found = held[1:] if held else self.record(at)
+            if found is None:
+                if damage == "raise":
+                    raise ValueError(f"no record at byte {at}")
+                after = self._next(at)
+                yield at, {"record_type": "damaged", "payload_bytes": after - at}
+                at = after
+            elif at >= end:
+                return  # the next range's first record, which is sound
+            else:
+                if found[0]["record_type"] in ("response", "revisit"):
+                    yield at, found[0]
+                at = found[1]
+            if found is None and at >= end:
+                return
+
+
+def read_archives(manifest: DataFrame, range_bytes: int = 8 << 20, payloads: bool = True, damage: str = "raise") -> DataFrame:
     """The records of the manifest's archives. range_bytes: bytes of an archive that one task looks through. payloads:
-    False leaves them out of the rows."""
+    False leaves them out of the rows. damage: `raise`, or `report` for rows of type `damaged`."""
     total = manifest.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("long")))
     ranges = manifest.select("folder", "path", "bytes", starts.alias("start")).repartition(int(total), "path", "start")
@@ -229,9 +295,10 @@ def read_archives(manifest: DataFrame, range_bytes: int = 8 << 20, payloads: boo
                 system, _ = fs.FileSystem.from_uri(folder)
                 with system.open_input_file(path) as file:
                     rows, held = [], 0
-                    for values in Archive(file, size).owned(start, min(start + range_bytes, size)):
-                        held += len(values["payload"] or b"")
-                        rows.append(values if payloads else values | {"payload": None})
+                    for at, values in Archive(file, size).owned(start, min(start + range_bytes, size), damage):
+                        held += len(values.get("payload") or b"")
+                        values = values if payloads else values | {"payload": None}
+                        rows.append(values | {"path": path, "at": at})
                         if len(rows) >= 1000 or held > 8 << 20:
                             yield _frame(rows)
                             rows, held = [], 0
@@ -241,8 +308,16 @@ def read_archives(manifest: DataFrame, range_bytes: int = 8 << 20, payloads: boo
     return ranges.mapInPandas(read, RECORDS)
 
 
+def shortfall(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """Archives whose sound records, of the types that are read, are not as many as the manifest says: path, records, found."""
+    counts = records.where("record_type <> 'damaged'").groupBy("path").agg(F.count(F.lit(1)).alias("found"))
+    both = manifest.select("path", "records").join(counts, "path", "left")
+    return both.select("path", "records", F.coalesce("found", F.lit(0)).alias("found")).where("records <> found")
+
+
 def _frame(rows: list[dict[str, object]]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows)
-    for c in ("page_id", "refers_to", "payload_bytes"):
+    names = [part.split()[0] for part in RECORDS.split(", ")]
+    frame = pd.DataFrame(rows, columns=names)
+    for c in ("page_id", "refers_to", "payload_bytes", "at"):
         frame[c] = frame[c].astype("Int64")
     return frame
