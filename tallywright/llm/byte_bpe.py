@@ -262,14 +262,19 @@ def codec(lines: bytes, pattern: str) -> Codec:
     return _codecs[key]
 
 
-def functions(spark: SparkSession, vocabulary: str, pattern: str) -> tuple[Callable[..., Column], Callable[..., Column]]:
-    """(encode, decode): from a text column to array<int>, and back. vocabulary: path of the rank file on the driver; its
-    contents (under `LARGEST` bytes) are broadcast."""
+def _shared(spark: SparkSession, vocabulary: str):
+    """The rank file's contents as a broadcast."""
     with open(vocabulary, "rb") as file:
         lines = file.read(LARGEST + 1)
     if len(lines) > LARGEST:
         raise ValueError(f"{vocabulary} has more than {LARGEST} bytes")
-    shared = spark.sparkContext.broadcast(lines)
+    return spark.sparkContext.broadcast(lines)
+
+
+def functions(spark: SparkSession, vocabulary: str, pattern: str) -> tuple[Callable[..., Column], Callable[..., Column]]:
+    """(encode, decode): from a text column to array<int>, and back. vocabulary: path of the rank file on the driver; its
+    contents (under `LARGEST` bytes) are broadcast."""
+    shared = _shared(spark, vocabulary)
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = codec(shared.value, pattern)
@@ -288,6 +293,24 @@ def functions(spark: SparkSession, vocabulary: str, pattern: str) -> tuple[Calla
     return F.arrow_udf(encode, T.ArrayType(T.IntegerType())), F.arrow_udf(decode, T.StringType())
 
 
+def round_trip(spark: SparkSession, vocabulary: str, pattern: str) -> Callable[..., Column]:
+    """From a text column to a struct of `ids` and `same`: whether the ids decode to the text. One worker does both, so that
+    the ids need not go back into Python and no second worker holds a vocabulary."""
+    shared = _shared(spark, vocabulary)
+
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        work = codec(shared.value, pattern)
+        for texts in batches:
+            for part in _parts(texts):
+                texts_of = part.to_pylist()
+                ids = _list_array([work.encode(text) for text in texts_of])
+                same = ["".join(work.decode(_chunks(row))) == (text or "") for row, text in zip(ids, texts_of)]
+                yield pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "same"])
+
+    encode.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(encode, T.StructType.fromDDL("ids array<int>, same boolean"))
+
+
 #: Bytes of a rank file that may be broadcast.
 LARGEST = 64 << 20
 

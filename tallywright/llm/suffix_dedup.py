@@ -9,12 +9,17 @@ an anchor, and each stands for the consecutive windows it serves, which together
    repeated. A task already marks what repeats within itself; marked rows are dealt evenly, so that a passage or a copy
    that a third of all documents hold does not meet in one task.
 2. First contexts whose gram also stands in other contexts may be repeated in part. Their suffixes, from the anchor on with
-   the bytes before it, are dealt by range with sampled splitters on their leading bytes; equal ones are told apart by
-   document and place, so a hot suffix is spread over buckets of `bucket` rows.
-3. A bucket sorts its suffixes by multikey quicksort, eight bytes at a time, and walks groups with the same gram in the
-   order of documents and places: a window that the group has seen is repeated.
-4. The first and the last group of a bucket may go on in its neighbours: their windows are compared across buckets by
-   digest, as a grouping that combines on the map side.
+   the bytes before it, are dealt by range with sampled splitters on their leading bytes, so that suffixes with the same
+   gram meet in one bucket and no group goes on across a boundary.
+3. A gram that more than `group` suffixes hold is too many for that. Its suffixes are dealt again: their windows are parted
+   by a second anchor, the gram with the next smallest hash, which joins the leading bytes, then by a third and so on, up to
+   `DEEPEST`. A window keeps one place throughout, so nothing is compared twice. The windows that are left then are
+   compared one by one by digest, as a grouping that combines on the map side.
+4. A bucket sorts its suffixes by multikey quicksort, eight bytes at a time, and walks groups with the same leading bytes in
+   the order of documents and places: a window that the group has seen is repeated.
+
+Whole contexts are told apart by a 64-bit hash beside the gram's, with a seed that is drawn for every run, so that no text
+can be made to collide; single windows by a 128-bit digest. Windows in buckets are compared byte by byte.
 
 Texts travel compressed where they are needed, once for 2 and once to cut out the spans.
 
@@ -25,6 +30,7 @@ columns stay; those named like a result are replaced.
 
 from __future__ import annotations
 
+import secrets
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,16 +47,22 @@ from .words import encoded
 
 #: A place packs the anchor's offset, its distance from the first window's start and the number of further windows.
 BITS = 14
+#: Anchors by which the suffixes of a frequent gram are dealt before their windows are compared one by one.
+DEEPEST = 4
+#: The distance that stands for no further anchor; distances are below it.
+NONE = -128
 
 
 @dataclass(frozen=True)
 class Repeats:
     """length: bytes of a repeated string. gram: bytes that choose the anchor, at least length - 128 and a multiple of 4.
-    bucket: suffixes that one task sorts. remembered: contexts that a task keeps to mark its own repeats."""
+    bucket: suffixes that one task sorts, about. group: of these, the most with the same leading bytes. remembered: contexts
+    that a task keeps to mark its own repeats."""
 
     length: int = 100
     gram: int = 20
     bucket: int = 20_000
+    group: int = 5_000
     remembered: int = 300_000
 
 
@@ -95,7 +107,7 @@ def anchors(data: bytes, plan: Repeats) -> tuple[np.ndarray, np.ndarray, np.ndar
     return h[at[new]], at[new], new, last
 
 
-def _marked(plan: Repeats):
+def _marked(plan: Repeats, seed: int):
     """Anchors of the documents: key, gram, context, place; `again` where the task itself has seen the context before."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -110,7 +122,7 @@ def _marked(plan: Repeats):
                         continue
                     place = (at << BITS) | ((at - first) << 7) | (last - first)
                     slices = zip(first.tolist(), (last + plan.length).tolist(), (at - first).tolist())
-                    context = [xxhash.xxh64_intdigest(data[b:e], seed=s) for b, e, s in slices]
+                    context = [xxhash.xxh64_intdigest(data[b:e], seed=seed + s) for b, e, s in slices]
                     again = np.zeros(len(at), bool)
                     for k, which in enumerate(zip(gram.tolist(), context, place.tolist())):
                         before = seen.setdefault(which[:2], (key, which[2]))
@@ -191,15 +203,14 @@ def multikey_sorted(tokens: np.ndarray) -> np.ndarray:
     return order
 
 
-def _tokens(leads: list[bytes], gram: int) -> np.ndarray:
-    width = -(-gram // 8) * 8
+def _tokens(leads: list[bytes]) -> np.ndarray:
+    width = -(-len(leads[0]) // 8) * 8
     joined = b"".join(lead.ljust(width, b"\0") for lead in leads)
     return np.frombuffer(joined, ">u8").reshape(len(leads), width // 8)
 
 
 def _bucket(plan: Repeats):
-    """Repeated windows of a bucket as (key, begin, end, digest null), and the windows of its outer groups, seen first here,
-    as (key, begin, end, digest) of single windows."""
+    """Repeated windows of a bucket as (key, begin, end)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [batch for batch in batches if len(batch)]
@@ -208,25 +219,23 @@ def _bucket(plan: Repeats):
         rows = pd.concat(parts, ignore_index=True)
         lead, context = [bytes(x) for x in rows["lead"]], [bytes(x) for x in rows["context"]]
         key, place = rows["key"].to_numpy(np.int64), rows["place"].to_numpy(np.int64)
-        tokens = _tokens(lead, plan.gram)
+        tokens = _tokens(lead)
         order = multikey_sorted(tokens)
         edges = np.flatnonzero(np.any(np.diff(tokens[order], axis=0) != 0, axis=1)) + 1
-        begins, ends = [0, *edges.tolist()], [*edges.tolist(), len(order)]
         out: list[tuple] = []
-        for begin, end in zip(begins, ends):
+        for begin, end in zip([0, *edges.tolist()], [*edges.tolist(), len(order)]):
             group = order[begin:end]
             group = group[np.lexsort((place[group], key[group]))]
-            outer = begin == 0 or end == len(order)
-            out += _group(group.tolist(), context, key, place, plan.length, outer)
+            out += _group(group.tolist(), context, key, place, plan.length)
             if len(out) > 50_000:
-                yield pd.DataFrame(out, columns=["key", "begin", "end", "digest"])
+                yield pd.DataFrame(out, columns=["key", "begin", "end"])
                 out = []
-        yield pd.DataFrame(out, columns=["key", "begin", "end", "digest"])
+        yield pd.DataFrame(out, columns=["key", "begin", "end"])
 
     return run
 
 
-def _group(group: list[int], context: list[bytes], key, place, length: int, outer: bool) -> list[tuple]:
+def _group(group: list[int], context: list[bytes], key, place, length: int) -> list[tuple]:
     out: list[tuple] = []
     seen: dict[bytes, tuple[int, int]] = {}
     for k in group:
@@ -240,20 +249,85 @@ def _group(group: list[int], context: list[bytes], key, place, length: int, oute
                 if run < 0:
                     run = p
             elif run >= 0:
-                out.append((doc, run, p - 1 + length, None))
+                out.append((doc, run, p - 1 + length))
                 run = -1
         if run >= 0:
-            out.append((doc, run, last + length, None))
-    if outer:
-        out += [(doc, p, p + length, xxhash.xxh128_digest(window)) for window, (doc, p) in seen.items()]
+            out.append((doc, run, last + length))
     return out
 
 
+def next_anchors(context: bytes, at: list[int], plan: Repeats) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of a context: place of the gram with the smallest hash above that of the gram at the last of the
+    places `at` (the leftmost of equals; -1: none), and where a new one begins."""
+    h = gram_hashes(np.frombuffer(context, np.uint8), plan.gram)
+    h = np.where(h > h[at[-1]], h, np.uint64(0xFFFFFFFFFFFFFFFF))
+    wide = plan.length - plan.gram + 1
+    views = np.lib.stride_tricks.sliding_window_view(h, wide)
+    best = views.argmin(axis=1)
+    found = np.where(views[np.arange(len(best)), best] == np.uint64(0xFFFFFFFFFFFFFFFF), -1, best + np.arange(len(best)))
+    return found, np.flatnonzero(np.diff(found, prepend=-2) != 0)
+
+
+def _dealt_again(plan: Repeats, depth: int):
+    """Suffixes by one more anchor. The leading bytes hold, for each further anchor, its distance from the first and its gram.
+    At the depth `DEEPEST` windows are parted singly."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for begin in range(0, len(batch), 500):
+                rows = []
+                for lead, context, key, place in batch.iloc[begin : begin + 500].itertuples(index=False, name=None):
+                    lead, context = bytes(lead), bytes(context)
+                    at, first, last = _unpacked(int(place))
+                    steps = [int.from_bytes(lead[k : k + 2], "big") + NONE for k in range(plan.gram, len(lead), plan.gram + 2)]
+                    if depth < DEEPEST and NONE in steps:  # no gram is left
+                        found, new = np.full(last - first + 1, -1), np.zeros(1, np.int64)
+                    elif depth < DEEPEST:
+                        found, new = next_anchors(context, [at - first, *(at - first + step for step in steps)], plan)
+                    else:
+                        found, new = np.full(last - first + 1, -1), np.arange(last - first + 1)
+                    for a, b in zip(new.tolist(), [*new[1:].tolist(), len(found)]):
+                        part, p = context[a : b - 1 + plan.length], int(found[a])
+                        more = b"\0\0" + bytes(plan.gram) if p < 0 else (p - at + first - NONE).to_bytes(2, "big") + context[p : p + plan.gram]
+                        where = (at << BITS) | ((at - first - a) << 7) | (b - 1 - a)
+                        rows.append((lead + more, part, key, where))
+                if rows:
+                    yield pd.DataFrame(rows, columns=["lead", "context", "key", "place"])
+
+    return run
+
+
+SUFFIX = "lead binary, context binary, key long, place long"
+
+
+def _partly(suffixes: DataFrame, plan: Repeats) -> list[DataFrame]:
+    """(key, begin, end) of repeated windows, from written suffixes; one frame per depth, and one for windows parted singly.
+    All suffixes of a frequent gram go on to the next depth, so that equal windows stay together."""
+    found = []
+    for depth in range(1, DEEPEST + 1):
+        counts = suffixes.groupBy("lead").agg(F.count(F.lit(1)).alias("n"))
+        hot = written(counts.where(F.col("n") > plan.group).select("lead"), "hot-leads")
+        cold = suffixes.join(hot, "lead", "left_anti").repartitionByRange(suffixes.count() // plan.bucket + 1, "lead")
+        found.append(cold.mapInPandas(_bucket(plan), "key long, begin int, end int"))
+        if hot.isEmpty():
+            return found
+        again = suffixes.join(hot, "lead", "left_semi").mapInPandas(_dealt_again(plan, depth), SUFFIX)
+        suffixes = written(again, "suffixes-again")
+    at = F.expr(f"cast((place >> {BITS}) - ((place >> 7) & 127) as int)")
+    windows = suffixes.select(F.unhex(F.md5("context")).alias("digest"), "key", at.alias("begin"))
+    spot = F.struct("key", "begin")
+    firsts = windows.groupBy("digest").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first <> last")
+    repeated = windows.join(firsts, "digest").where(spot != F.col("first"))
+    found.append(repeated.select("key", "begin", (F.col("begin") + plan.length).cast("int").alias("end")))
+    return found
+
+
 def spans(docs: DataFrame, plan: Repeats = Repeats(), key: str = "doc_id") -> DataFrame:
     """(key, begin, end) of repeated strings, overlapping and in no order, of documents with a key."""
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), "text").where("key is not null")
     schema = "gram long, context long, key long, place long"
-    dealt = rows.where(F.octet_length("text") >= plan.length).mapInPandas(_marked(plan), schema).repartition("gram")
+    marked = _marked(plan, secrets.randbits(60))
+    dealt = rows.where(F.octet_length("text") >= plan.length).mapInPandas(marked, schema).repartition("gram")
     mixed = dealt.where("place >= 0").groupBy("gram").agg(F.min("context").alias("a"), F.max("context").alias("b")).where("a <> b")
     ranked = dealt.withColumn(
         "again", F.expr("place < 0 or rank() over (partition by gram, context, place < 0 order by key, place) > 1")
@@ -264,20 +338,10 @@ def spans(docs: DataFrame, plan: Repeats = Repeats(), key: str = "doc_id") -> Da
     whole = marks.where("again").select("key", at.cast("int").alias("begin"), (at + F.expr("place & 127") + plan.length).cast("int").alias("end"))
     part = marks.where("not again").groupBy("key").agg(F.collect_set("place").alias("places"))
     texts = rows.select("key", F.pandas_udf(_packed, T.BinaryType())("text").alias("packed")).join(part, "key")
-    suffixes = written(
-        texts.select("key", "packed", "places").mapInPandas(_suffixes(plan), "lead binary, context binary, key long, place long"),
-        "suffixes",
-    )
-    buckets = suffixes.count() // plan.bucket + 1
-    found = suffixes.repartitionByRange(buckets, "lead", "key", "place").mapInPandas(
-        _bucket(plan), "key long, begin int, end int, digest binary"
-    )
-    found = written(found, "suffix-matches")
-    outer = found.where("digest is not null")
-    place = F.struct("key", "begin")
-    firsts = outer.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    across = outer.join(firsts, "digest").where(place != F.col("first")).select("key", "begin", "end")
-    return whole.unionByName(found.where("digest is null").select("key", "begin", "end")).unionByName(across)
+    suffixes = written(texts.select("key", "packed", "places").mapInPandas(_suffixes(plan), SUFFIX), "suffixes")
+    for part_of in _partly(suffixes, plan):
+        whole = whole.unionByName(part_of)
+    return whole
 
 
 SPAN = T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())])

@@ -52,8 +52,8 @@ def test_components_of_near_copies(spark, most):
     assert {r.id: (r.component, r.n_shingles) for r in rows} == {k: (find(k), len(sets[k])) for k in sets}
 
 
-@pytest.mark.parametrize("bucket", [20_000, 7])
-def test_repeated_bytes(spark, bucket):
+@pytest.mark.parametrize("bucket, group", [(20_000, 5000), (7, 5000), (50, 3), (20, 1)])
+def test_repeated_bytes(spark, bucket, group):
     rng = random.Random(3)
     line = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
     shared = [line(n) for n in (90, 100, 101, 150, 400)]
@@ -70,10 +70,53 @@ def test_repeated_bytes(spark, bucket):
         runs = [key for key, _ in itertools.groupby(hit)]
         wanted[k] = (sum(runs), bytes(c for c, h in zip(data, hit) if not h))
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    rows = suffix_dedup.deduplicated(frame, suffix_dedup.Repeats(bucket=bucket, remembered=10)).collect()
+    rows = suffix_dedup.deduplicated(frame, suffix_dedup.Repeats(bucket=bucket, group=group, remembered=10)).collect()
     assert {r.doc_id: (len(r.spans), bytes(r.kept)) for r in rows} == wanted
 
 
+def test_a_gram_in_very_many_contexts(spark):
+    """One sentence between words that differ in every document: suffixes are dealt again, not spread out per window."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=9))
+    common = "the quick brown fox jumps over the lazy dog and then some more"
+    docs = [(k, f"{word()} {word()} {word()} {word()} {common} {word()} {word()} {word()} {word()}") for k in range(1500)]
+    docs += [(2000 + k, f"{docs[k][1][:70]} {word()} {docs[k][1][60:]}") for k in range(300)]
+    seen, wanted = set(), {}
+    for k, text in sorted(docs):
+        data, hit = text.encode(), bytearray(len(text))
+        for p in range(len(data) - 99):
+            if data[p : p + 100] in seen:
+                hit[p : p + 100] = b"\1" * 100
+            seen.add(data[p : p + 100])
+        wanted[k] = bytes(c for c, h in zip(data, hit) if not h)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    plan = suffix_dedup.Repeats(group=100)
+    rows = suffix_dedup.deduplicated(frame, plan).collect()
+    assert {r.doc_id: bytes(r.kept) for r in rows} == wanted
+    assert sum(len(w) < 180 for w in wanted.values()) >= 250
+
+
+def test_next_anchors_belong_to_the_window():
+    """Whatever stands around a window, its further anchors are the same."""
+    rng, plan = random.Random(6), suffix_dedup.Repeats()
+    for _ in range(50):
+        window = bytes(rng.choices(b"abc", k=100))
+        found = set()
+        for _ in range(4):
+            left, right = rng.randrange(60), rng.randrange(60)
+            data = bytes(rng.choices(b"abc", k=left)) + window + bytes(rng.choices(b"abc", k=right))
+            gram, at, first, last = suffix_dedup.anchors(data, plan)
+            k = next(k for k in range(len(at)) if first[k] <= left <= last[k])
+            places, context = [at[k] - first[k]], data[first[k] : last[k] + 100]
+            for _ in range(3):
+                more, _ = suffix_dedup.next_anchors(context, places, plan)
+                if more[left - first[k]] < 0:
+                    break
+                places.append(int(more[left - first[k]]))
+            found.add(tuple(int(p) - (left - int(first[k])) for p in places))
+        assert len(found) == 1
+
+
 def test_tokens_like_the_library():
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         lines = file.read()
