@@ -1,11 +1,11 @@
-"""The same results in SQL for DuckDB, written from the meaning of each report and not from the Spark plan.
+"""The same results in SQL for DuckDB, written from the meaning of each report and not from the Spark plan. Rules, categories
+and patterns are spelled out here again, so that a wrong one in the library turns its row red.
 
 Laterals are correlated subqueries, fan-outs are really fanned out, and the fee rules are one filtered aggregate each.
 """
 
 from __future__ import annotations
 
-from tallywright.plans import fees as fee_plans, franchise as franchise_plans
 from tallywright.registry import settings as s
 from tallywright.registry.views import oracle
 
@@ -340,47 +340,96 @@ from booked
 # --- fee categories ------------------------------------------------------------------------------------------------
 
 
-def _fee_test(test: fee_plans.Condition) -> str:
-    column = f"lower({test.column})"
-    values = [v.lower() for v in test.values]
-    if test.op in ("is", "is not"):
-        text = f"{column} in ({', '.join(repr(v) for v in values)})"
-    else:
-        text = f"{column} like '%{values[0]}%'"
-    return f"not ({text})" if test.op.endswith("not") else text
-
-
-_types = {"Total_Fees": "decimal(18,2)", "Txn_Count": "int", "Txn_Amount": "decimal(18,2)"}
+# What the rules of the categories ask for, in short names.
+_TESTS = {
+    "known": "Payment_Type not ilike 'Not Applicable'",
+    "gateway": "Fee_Category_Type ilike 'Vantiv Fees'",
+    "network": "Fee_Category_Type not ilike 'Vantiv Fees'",
+    "amex": "Payment_Type ilike 'American Express'",
+    "echeck": "Payment_Type ilike 'Electronic Check'",
+    "card": "Payment_Type not ilike 'American Express' and Payment_Type not ilike 'Electronic Check'",
+    "debit": "Description ilike '%DEBIT%'",
+    "no debit": "Description not ilike '%DEBIT%'",
+    "regulated": "Description ilike '%Regulated%'",
+    "unregulated": "Description not ilike '%Regulated%'",
+    "optblue": "Description ilike '%INT AMEX OptBlue%'",
+    "no avs": "Description not ilike '%AVS%'",
+    "no debit fee": "Fee_Category not ilike '%DEBIT%'",
+    "assessments": "Fee_Category ilike 'Assessments'",
+    "no assessments": "Fee_Category not ilike 'Assessments'",
+    "authorizations": "Fee_Category ilike 'Authorizations'",
+    "no authorizations": "Fee_Category not ilike 'Authorizations'",
+    "interchange": "Fee_Category ilike 'Credit Interchange'",
+    "no interchange": "Fee_Category not ilike 'Credit Interchange'",
+    "acceptance": "Fee_Category ilike 'Payments Acceptance'",
+    "revenue": "Fee_Category ilike 'Revenue Solutions'",
+    "no revenue": "Fee_Category not ilike 'Revenue Solutions'",
+    "chargebacks": "Fee_Sub_Category ilike 'Chargebacks/Returns'",
+    "no chargebacks": "Fee_Sub_Category not ilike 'Chargebacks/Returns'",
+    "group x": "reporting_group ilike 'REPORTING_GROUP_X'",
+}
+# The categories with what is added up and what is asked for.
+_FEES, _COUNT, _AMOUNT = ("Total_Fees", "decimal(18,2)"), ("Txn_Count", "int"), ("Txn_Amount", "decimal(18,2)")
+_FEE_CATEGORIES = (
+    ("03_WP - Credit Card (Visa,MC,Dis)-Total Network Costs", _FEES, "known, network, no revenue, card, no debit, no assessments"),
+    ("04_Intermediate - CC and Debit Gateway Fees", _FEES, "known, gateway, no chargebacks, no revenue, card"),
+    ("06_WP - Credit Card (Visa,MC,Dis)-Assesments", _FEES, "known, network, card, no debit, assessments"),
+    ("08_WP - Credit Cards (AMEX) - Total Network Costs", _FEES, "amex, network, no assessments, no authorizations"),
+    ("American Express OptBlue Assesment", _FEES, "optblue"),
+    ("09_WP - Credit Cards (AMEX) - Total Gateway Costs", _FEES, "gateway, no revenue, amex, no chargebacks"),
+    ("10_WP - Credit Cards (AMEX) - Brand Assesments", _FEES, "amex, network, assessments"),
+    ("16_WP - Regulated DEBIT Cards - Total Interchange Costs", _FEES, "group x, known, network, debit, regulated, no assessments, no authorizations"),
+    ("20_WP - UnRegulated DEBIT Cards - Total Interchange Costs", _FEES, "group x, known, network, debit, unregulated, no assessments, no authorizations"),
+    ("13_WP - Combined DEBIT Cards Assesments", _FEES, "known, network, debit, unregulated, assessments"),
+    ("14_WP - Combined DEBIT Cards Authorizations", _FEES, "known, network, debit, unregulated, authorizations"),
+    ("24_WP - eCheck - Total Gateway Costs", _FEES, "gateway, echeck, acceptance"),
+    ("26_WP - Account Updater Costs", _FEES, "known, no debit fee, gateway, revenue"),
+    ("27_WP - Chargeback Costs", _FEES, "known, no debit fee, gateway, chargebacks"),
+    ("30_WP - Credit Card Counts (Visa,MC,Dis)", _COUNT, "known, network, no revenue, card, no debit, no assessments, no interchange, no avs"),
+    ("31_WP - Credit Card Counts (AMEX)", _COUNT, "gateway, no revenue, amex"),
+    ("32_WP - UnRegulated Debit Card Counts", _COUNT, "group x, known, network, debit, unregulated, no assessments, no authorizations"),
+    ("33_WP - Regulated Debit Card Counts", _COUNT, "known, network, debit, regulated, no assessments, no authorizations"),
+    ("37_WP - Credit Card $$$ (AMEX)", _AMOUNT, "gateway, no revenue, amex"),
+    ("39_WP - Regulated Debit Card", _AMOUNT, "known, network, debit, regulated, no assessments, no authorizations"),
+    ("40_WP - eCheck", _AMOUNT, "gateway, echeck, acceptance"),
+    ("34_WP - eCheck Counts", _COUNT, "gateway, echeck, acceptance"),
+    ("36_WP - Credit Card (Visa,MC,Dis)", _AMOUNT, "known, network, card, no debit, interchange"),
+    ("38_WP - UnRegulated Debit Card", _AMOUNT, "known, network, debit, unregulated, no assessments, no authorizations"),
+)
 
 add(
     "merchant_processing_view",
     "\nunion all\n".join(
-        f"""select "Month", "CLUB", "isXPO", '{rule.label}' as "Value",
-            cast(sum(cast({rule.measure} as {_types[rule.measure]})) as decimal(28,2)) as "Amount"
-        from fee_lines where {" and ".join(_fee_test(t) for t in rule.tests)} group by all"""
-        for rule in fee_plans.processing_rules()
+        f"""select "Month", "CLUB", "isXPO", '{label}' as "Value", cast(sum(cast({column} as {kind})) as decimal(28,2)) as "Amount"
+        from fee_lines where {" and ".join(_TESTS[t] for t in tests.split(", "))} group by all"""
+        for label, (column, kind), tests in _FEE_CATEGORIES
     ),
 )
 
 # --- stores --------------------------------------------------------------------------------------------------------
 
 
-def _brand_sql(rules, value: str, otherwise: str) -> str:
+# Brands with their place, name and patterns (of the store's name, then of the chain's), and rebate chains.
+_BRANDS = (
+    (1, "BRAND_D", "BRAND_D%", None), (2, "BRAND_S", "BRAND_R%", "BRAND_S%"), (3, "BRAND_F", "BRAND_F%", None),
+    (4, "BRAND_G", "BRAND_G%", None), (5, "BRAND_T", "BRAND_T%", None), (6, "BRAND_U", "BRAND_U%", None),
+    (7, "BRAND_V", "BRAND_V%", None), (8, "BRAND_W", "BRAND_W%", None), (9, "BRAND_Q", "BRAND_Q%", None),
+    (10, "BRAND_A", "BRAND_A%", None), (11, "BRAND_B", "BRAND_B%", None), (12, "BRAND_Y", "BRAND_Y%", None),
+    (13, "BRAND_H", "BRAND_H%", None), (14, "BRAND_J", "BRAND_J%", None), (15, "BRAND_P", "BRAND_P%", None),
+)
+_REBATES = (("BRAND_A%", "US", 1), ("BRAND_B%", "US", 2), ("BRAND_C%", "US", 3), ("BRAND_P%", "US", 21), ("BRAND_P%", "CA", 22), ("BRAND_Q%", "CA", 23))
+
+
+def _brand_sql(brands, place: int, otherwise: str) -> str:
     whens = []
-    for rule in rules:
-        test = f"p.LocationName ilike '{rule.location_like}'"
-        if rule.chain_like:
-            test += f" or h.ChainName ilike '{rule.chain_like}'"
-        found = getattr(rule, value)
-        whens.append(f"when {test} then {found!r}")
+    for brand in brands:
+        test = f"p.LocationName ilike '{brand[2]}'" + (f" or h.ChainName ilike '{brand[3]}'" if brand[3] else "")
+        whens.append(f"when {test} then {brand[place]!r}")
     return f"case {' '.join(whens)} else {otherwise} end"
 
 
 def _rebate_sql(params) -> str:
-    whens = " ".join(
-        f"when p.LocationName ilike '{r.location_like}' and p.clubcountry = '{r.country}' then {r.chain_id}"
-        for r in params.rebate_rules
-    )
+    whens = " ".join(f"when p.LocationName ilike '{like}' and p.clubcountry = '{country}' then {chain}" for like, country, chain in _REBATES)
     return (
         f"case when o.ChainID is null or o.ChainID = {params.mixed_chain_id or -999} then case {whens} end "
         "else o.ChainID end"
@@ -419,16 +468,16 @@ select cast({chain} as int) as "ChainId", cast({_rebate_sql(params)} as int) as
 
 
 _statuses = "o.Status in (1, 2, 3, 7, 13, 14, 15)"
-_remit_brand = _brand_sql(s.REMIT.remit_brand_rules, "brand_name", "coalesce(h.ChainName, 'No Brand Assigned')")
+_remit_brand = _brand_sql([b for b in _BRANDS if b[0] in (1, 2, 15)], 1, "coalesce(h.ChainName, 'No Brand Assigned')")
 _remit_all = _store_sql(s.REMIT, "o.ChainID", "h.ChainName", _remit_brand, "-")
 
 add("store_dimension_remit", f"{_remit_all} where {_statuses} and (p.clubcountry <> 'CA' or p.clubcountry is null)")
 
-_brand_id = _brand_sql(s.BRAND.brand_rules, "brand_id", "o.ChainID")
-_brand_name = _brand_sql(s.BRAND.brand_rules, "brand_name", "coalesce(h.ChainName, 'No Brand Assigned')")
+_brand_id = _brand_sql(_BRANDS, 0, "o.ChainID")
+_brand_name = _brand_sql(_BRANDS, 1, "coalesce(h.ChainName, 'No Brand Assigned')")
 _chain_brand = " ".join(
-    "when " + " or ".join(f"h.ChainName ilike '{p}'" for p in (r.location_like, r.chain_like) if p) + f" then {r.brand_id}"
-    for r in s.BRAND.brand_rules
+    "when " + " or ".join(f"h.ChainName ilike '{p}'" for p in (like, chain_like) if p) + f" then {place}"
+    for place, _, like, chain_like in _BRANDS
 )
 
 add(
@@ -496,7 +545,28 @@ _in_period = f"l.ToDate >= date '{s.START}' and l.ToDate < date '{s.END}' + 1"
 _tail = 'o.ExternalStoreID as "ExternalStoreId", o.CollectionsBy as "CollectionsBy"'
 _named = """join stores o on o.StoreID = l.CoreId and l.CoreTypeId = 3 and o.ChainID is not null
     left join general_prefs p on p.StoreID = o.StoreID"""
-_categories = ", ".join(repr(c) for c in franchise_plans.CATEGORIES)
+# The report's categories, the settlement columns behind them, and the fees told by category and name.
+_CATEGORIES = (
+    "franchisefee1", "franchisefee1Adj", "franchisefee2", "franchisefee2Adj", "CardPresent", "Down", "Products", "Draft",
+    "Collections", "Refunds", "Returns", "NetTotal", "Tax", "TotalAfterTax", "CrCardDraft", "ECheckDraft", "CashDraft",
+    "WrittenCheckDraft", "ExtTerminalDraft", "ACHAdjustments", "AmexAdjustments", "HeartMonitorFee", "CorporateEmailFee",
+    "InsuranceFee", "CorporateFee", "CorpAdj", "DigitalMarketingService", "SoftwareFee", "directcoll", "RemitStatementFee",
+    "LeadSpeakFee", "NowFee", "EmmaFee", "WorkoutScreens", "PCICompliance", "CRConnect", "VTS",
+)
+_SETTLED = (
+    ("UpFront_PilTotal_Total", "Down"), ("Draft_PilTotal_Total", "Draft"), ("Product_PilTotal_Total", "Products"),
+    ("Pdc_PilTotal_Total", "Collections"), ("PdcDirect_PilTotal_Total", "DirectColl"), ("Refund_RefundTotal_Total", "Refunds"),
+    ("Return_PaymentTotal_Total", "Returns"), ("Net_Total", "NetTotal"), ("SalesTax_Total", "Tax"),
+    ("Total_AfterTax", "TotalAfterTax"), ("Draft_PilTotal_Ach", "ECheckDraft"), ("Draft_PilTotal_Cash", "CashDraft"),
+    ("Draft_PilTotal_WrittenCheck", "WrittenCheckDraft"), ("Draft_PilTotal_External", "ExtTerminalDraft"),
+)
+_NAMED = (
+    ("HeartMonitorFee", 3, "Heart%"), ("CorporateEmailFee", 3, "%Corp%Email%"),
+    ("DigitalMarketingService", 3, "%Digital Marketing Service%"), ("NowFee", 3, "%9r%now%"), ("EmmaFee", 3, "emma%"),
+    ("WorkoutScreens", 3, "Workout Screens%"), ("PCICompliance", 17, "%PCI Compliance%"), ("CRConnect", 35, "%CR%Connect%"),
+    ("VTS", 3, "%VTS%"),
+)
+_categories = ", ".join(repr(c) for c in _CATEGORIES)
 
 SKELETON = f"""
 select o.StoreID as "CoreId", 3 as "CoreTypeId", {_place.format("o.StoreID")}, unnest([{_categories}]) as "Category",
@@ -515,10 +585,8 @@ def _named_fee(column: str, category: int, pattern: str) -> str:
             and a.FromDate between l.FromDate and l.ToDate) as decimal(17,2)) as "{column}\""""
 
 
-_own = ", ".join(
-    f'cast(l.{column} as decimal(17,2)) as "{category}"' for category, column in franchise_plans.SETTLEMENT_MEASURES.items()
-)
-_fee_sums = ", ".join(_named_fee(c, k, p) for c, (k, p) in franchise_plans.NAMED_FEES.items())
+_own = ", ".join(f'cast(l.{column} as decimal(17,2)) as "{category}"' for column, category in _SETTLED)
+_fee_sums = ", ".join(_named_fee(*fee) for fee in _NAMED)
 
 WIDE = f"""
 select distinct l.CoreId as "CoreId", l.CoreTypeId as "CoreTypeId", {_place.format("l.CoreId")},
@@ -539,10 +607,8 @@ select distinct l.CoreId as "CoreId", l.CoreTypeId as "CoreTypeId", {_place.form
 from settlement_log l {_named} where {_in_period}
 """
 
-_measures = [
-    *franchise_plans.SETTLEMENT_MEASURES, "CrCardDraft", "ACHAdjustments", "AmexAdjustments", "CorpAdj", "CardPresent",
-    *franchise_plans.NAMED_FEES,
-]
+_measures = [category for _, category in _SETTLED]
+_measures += ["CrCardDraft", "ACHAdjustments", "AmexAdjustments", "CorpAdj", "CardPresent", *(fee[0] for fee in _NAMED)]
 LONG = f"""
 select "CoreId", "CoreTypeId", "Location", "ClubState", "Category", "Amount", "ExternalStoreId", "CollectionsBy"
 from (unpivot wide on {", ".join(f'"{m}"' for m in _measures)} into name "Category" value "Amount")
@@ -582,12 +648,12 @@ add("ff_fee_adjustments", ADJUSTMENTS)
 add("franchise_fee_staging", f"with {STAGING} select * from staged")
 
 _columns = sorted(
-    {*franchise_plans.CATEGORIES, *s.FEE_CATEGORY_NAMES, *[n + "adj" for n in s.FEE_CATEGORY_NAMES]},
+    {*_CATEGORIES, *s.FEE_CATEGORY_NAMES, *[n + "adj" for n in s.FEE_CATEGORY_NAMES]},
 )
 _pivoted = ", ".join(
     (
         f"""cast(coalesce(sum(amt) filter (cat = '{c.lower()}'), 0) as decimal(38,2)) as "{c}\""""
-        if c in franchise_plans.ZEROED
+        if c in ("SoftwareFee", "RemitStatementFee", "NowFee", "EmmaFee")
         else f"""cast(sum(amt) filter (cat = '{c.lower()}') as decimal(38,2)) as "{c}\""""
     )
     for c in _columns
