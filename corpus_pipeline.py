@@ -3,8 +3,8 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. A text
 that a stage shortens gets its number of characters anew. Near-duplicates are judged on shingles of five words.
 
-Defined results: documents with a null, empty or blank text fail the quality rules and go there. A null doc_id keeps its row in
-every stage but the near-duplicates, which leave out documents without an id. Rows that share an id are judged one by one,
+Defined results: documents with a null, empty or blank text fail the quality rules and go there. Rows without a doc_id
+stay in every stage. Rows that share an id are judged one by one,
 and are one document for the near-duplicates. Null languages and sources are groups of their own. Of equal documents the
 smallest id stays. An empty table passes through all stages as an empty one. Columns beside those of documents are dropped.
 """
