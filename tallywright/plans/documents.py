@@ -26,6 +26,15 @@ def workbook_rows(df: DataFrame, number_columns: Sequence[str], marker: str = MA
     )
 
 
+def workbook_sheets(
+    df: DataFrame, group_column: str, number_columns: Sequence[str], order_by: Sequence[str], marker: str = MARKER
+) -> DataFrame:
+    """The workbooks the rows are split into: `workbook` (the group; the marker for rows without one), `row_no` from 2, below
+    the headings, and the other columns as the export shows them. A large group is numbered over many tasks."""
+    shown = workbook_rows(df, number_columns, marker).withColumnRenamed(group_column, "workbook")
+    return number_rows(shown, order_by, ["workbook"], "row_no").withColumn("row_no", F.col("row_no") + 1)
+
+
 def workbook_widths(
     df: DataFrame, group_column: str, number_columns: Sequence[str], marker: str = MARKER
 ) -> DataFrame:

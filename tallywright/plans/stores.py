@@ -348,9 +348,10 @@ def management_financials(
 
 
 def checked_offset(hours: Column) -> Column:
-    """Hours of a store's offset; a run fails on two days or more, for which the payments read would not do."""
-    far = F.raise_error(F.concat(F.lit("offset of two days or more: "), hours.cast("string"))).cast("int")
-    return F.when(F.abs(hours) >= 48, far).otherwise(hours)
+    """Hours of a store's offset; a run fails on two days or more, for which the payments read would not do, and on parts of
+    an hour, for which sums per clock hour would not do."""
+    wrong = F.raise_error(F.concat(F.lit("offset of two days or more, or of parts of an hour: "), hours.cast("string"))).cast("int")
+    return F.when((F.abs(hours) >= 48) | (hours != F.floor(hours)), wrong).otherwise(hours.cast("int"))
 
 
 def store_period_transactions(

@@ -713,6 +713,16 @@ from workbook_rows
 """,
 )
 
+add(
+    "workbook_sheets",
+    """
+select coalesce(nullif(group_name, ''), 'n/a') as workbook, coalesce(nullif(merchant_id, ''), 'n/a') as merchant_id,
+    coalesce(nullif(contact_phone, ''), 'n/a') as contact_phone, annual_sales_volume,
+    1 + row_number() over (partition by coalesce(nullif(group_name, ''), 'n/a') order by merchant_id) as row_no
+from workbook_rows
+""",
+)
+
 _head = [
     (1, "Company Name Here"), (2, "Company Address Here"), (3, "City, State, ZIP Code"), (4, "+1 XXX-XXX-XXXX"),
     (5, "Statement Period: MM-DD-YYYY to MM-DD-YYYY"),

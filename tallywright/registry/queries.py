@@ -253,6 +253,11 @@ def _sections(t: LogicalTables) -> list[documents.Section]:
     ]
 
 
+@query
+def workbook_sheets(t):
+    return documents.workbook_sheets(t.workbook_rows, "group_name", ["annual_sales_volume"], ["merchant_id", "contact_phone"])
+
+
 @query
 def statement_pack(t):
     return documents.statement_pack(_sections(t))

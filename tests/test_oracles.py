@@ -1,5 +1,6 @@
 """Every registered query against its SQL, on the smallest scale factor."""
 
+import dataclasses
 import shutil
 import subprocess
 import sys
@@ -10,6 +11,7 @@ import pytest
 from tests.oracle_check import differences, duck
 
 import __spark_entry__ as entry
+from tallywright.plans import fees, franchise
 from tallywright.registry import ORACLES, QUERIES
 
 
@@ -27,6 +29,18 @@ def test_same_rows(spark, con, sf_dir, name):
     assert differences(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == []
 
 
+def test_a_wrong_rule_turns_its_row_red(spark, con, sf_dir, monkeypatch):
+    """The SQL has its own rules: a rule, a category and a brand that are wrong in the library differ from it."""
+    rules = fees.processing_rules()
+    wrong = [dataclasses.replace(r, tests=r.tests[1:]) if k == 3 else r for k, r in enumerate(rules)]
+    monkeypatch.setattr(fees, "processing_rules", lambda: wrong)
+    assert differences(QUERIES["merchant_processing_view"](spark, sf_dir), con, ORACLES["merchant_processing_view"])
+    monkeypatch.setattr(franchise, "CATEGORIES", franchise.CATEGORIES[1:])
+    assert differences(QUERIES["ff_category_skeleton"](spark, sf_dir), con, ORACLES["ff_category_skeleton"])
+    monkeypatch.setattr(franchise, "NAMED_FEES", {**franchise.NAMED_FEES, "EmmaFee": (3, "emm%x")})
+    assert differences(QUERIES["ff_settlement_wide"](spark, sf_dir), con, ORACLES["ff_settlement_wide"])
+
+
 def test_entry_has_rows(spark):
     assert entry.entry(spark).limit(1).count() == 1
 

@@ -373,6 +373,13 @@ def test_workbook(spark):
     assert sorted(tuple(r) for r in documents.workbook_rows(df, ["volume"]).collect()) == [("g", "n/a", None), ("n/a", "n/a", 1.5)]
 
 
+def test_workbook_sheets(spark):
+    df = spark.createDataFrame([("g", "b", 1.5), (None, "", 2.0), ("g", "a", None), ("", None, 1.0)], "grp string, phone string, volume double")
+    found = documents.workbook_sheets(df, "grp", ["volume"], ["phone", "volume"])
+    assert found.columns == ["workbook", "phone", "volume", "row_no"]
+    assert sorted(map(tuple, found.collect())) == [("g", "a", None, 2), ("g", "b", 1.5, 3), ("n/a", "n/a", 1.0, 2), ("n/a", "n/a", 2.0, 3)]
+
+
 def test_file_names(spark):
     rows = [("mer_1", "A"), ("mer_2", "A"), ("mer_3", "B/?"), ("other", "C"), ("mer_4", "C"), ("mer_4", "D")]
     found = {r.merchant_id: r.file_name for r in documents.statement_file_names(spark.createDataFrame(rows, "merchant_id string, merchant_name string")).collect()}
