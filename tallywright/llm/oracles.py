@@ -43,15 +43,15 @@ from dealt
 """
 
 _SHARES = (
-    ("n_symbols", "n_words", 250, 700),
-    ("n_dup_lines", "n_lines", 400, 700),
-    ("n_repeat_words", "n_words", 450, 500),
-    ("word_chars", "n_words", 9000, 20000),
+    ("n_symbols", "n_words", 20, 700),
+    ("n_dup_lines", "n_lines", 45, 700),
+    ("n_repeat_words", "n_words", 45, 500),
+    ("word_chars", "n_words", 100, 20000),
 )
 
 _SHARE_ROWS = " union all ".join(
-    f"select *, {k} k, case when {b} > 0 then {a} * 1000 // {b} else 0 end v, {low} low, {high} high from base"
-    for k, (a, b, low, high) in enumerate(_SHARES)
+    f"select *, {k} k, case when {b} > 0 then {a} * 1000 // {b} else 0 end v, {unit} unit, {high} high from base"
+    for k, (a, b, unit, high) in enumerate(_SHARES)
 )
 
 OP8 = f"""
@@ -98,14 +98,13 @@ sources as (
   select lang, source, k, min(bin) filter (4 * r_s >= n_s) * 5 a, min(bin) filter (4 * r_s >= 3 * n_s) * 5 b, max(n_s) n
   from ranked group by lang, source, k
 ),
-cut as (
-  select s.lang, s.source, s.k,
-    case when s.n >= 200 then s.b + 6 * (s.b - s.a) when l.n >= 200 then l.b + 6 * (l.b - l.a) else e.b + 6 * (e.b - e.a) end fence
+drawn as (
+  select s.lang, s.source, s.k, (s.n * s.a + 200 * l.a + 20 * e.a) // (s.n + 220) a, (s.n * s.b + 200 * l.b + 20 * e.b) // (s.n + 220) b
   from sources s join langs l on s.lang is not distinct from l.lang and s.k = l.k join every e on s.k = e.k
 ),
 verdict as (
-  select doc_id, bool_and(coalesce(v <= greatest(low, least(high, fence)), false)) fits
-  from shares s left join cut c on s.lang is not distinct from c.lang and s.source is not distinct from c.source and s.k = c.k
+  select doc_id, bool_and(coalesce(v <= least(high, b + 8 * greatest(b - a, unit)), false)) fits
+  from shares s left join drawn c on s.lang is not distinct from c.lang and s.source is not distinct from c.source and s.k = c.k
   group by doc_id
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and fits kept

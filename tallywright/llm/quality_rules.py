@@ -2,10 +2,11 @@
 
 Every document gets counts (`measured`), of which four shares are judged (`SHARES`). A mergeable quantile sketch per
 language and source is a histogram over fixed bins: two sketches merge by adding their counts, so partial aggregation,
-order and retries cannot change it, and its quantiles are exact to one bin. From the quartiles of a group comes its
-upper fence, `q75 + spread * (q75 - q25)`, never below a floor (so that a group in which a share is nearly constant does
-not reject ordinary documents) nor above a ceiling (so that a group of mostly bad documents is not taken for normal).
-Groups below `least` documents take the language's fences, languages below it those of all documents.
+order and retries cannot change it, and its quantiles are exact to one bin. A group's quartiles are drawn towards those of
+its language and of all documents as if it had `lang_weight` and `all_weight` documents more of these, so that they follow
+its own documents the more it has, without a size at which they change. The cutoff is the upper fence `q75 + spread *
+max(q75 - q25, unit)`: the unit is the least spread that is taken for one, as most shares are 0 in most documents. A wide
+ceiling keeps a group of mostly bad documents from being taken for normal; there is no other fixed cutoff.
 The fences, one row per group, are joined to the documents.
 
 Defined results: a null or empty text has no words and fails the base rule. Null languages and sources are groups of
@@ -34,32 +35,33 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 @dataclass(frozen=True)
 class Share:
-    """A judged share in thousandths: floor and ceiling of its cutoff."""
+    """A judged share in thousandths: the least spread that counts, and the ceiling of its cutoff."""
 
     name: str
     of: str
     by: str
-    floor: int
+    unit: int
     ceiling: int
 
 
 SHARES = (
-    Share("symbol_share", "n_symbols", "n_words", 250, 700),
-    Share("dup_line_share", "n_dup_lines", "n_lines", 400, 700),
-    Share("repeat_share", "n_repeat_words", "n_words", 450, 500),
-    Share("word_length", "word_chars", "n_words", 9_000, 20_000),
+    Share("symbol_share", "n_symbols", "n_words", 20, 700),
+    Share("dup_line_share", "n_dup_lines", "n_lines", 45, 700),
+    Share("repeat_share", "n_repeat_words", "n_words", 45, 500),
+    Share("word_length", "word_chars", "n_words", 100, 20_000),
 )
 
 
 @dataclass(frozen=True)
 class Rules:
-    """min_words and max_repeat: the base rule. spread: fence width in quartile distances. least: documents that a group
-    needs for fences of its own. bin_width: thousandths that one bin of the sketch holds."""
+    """min_words and max_repeat: the base rule. spread: fence width in quartile distances. lang_weight, all_weight: documents
+    that the language's and all quartiles count for beside the group's own. bin_width: thousandths that one bin holds."""
 
     min_words: int = 50
     max_repeat: int = 50
-    spread: int = 6
-    least: int = 200
+    spread: int = 8
+    lang_weight: int = 200
+    all_weight: int = 20
     bin_width: int = 5
 
 
@@ -158,20 +160,13 @@ def fences(measured_docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     rows = source.join(
         named(lang, "l"), F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("share") == F.col("l_share"))
     ).join(named(every, "e"), F.col("share") == F.col("e_share"))
-    pick = lambda q: (
-        F.when(F.col("documents") >= rules.least, F.col(q))
-        .when(F.col("l_documents") >= rules.least, F.col(f"l_{q}"))
-        .otherwise(F.col(f"e_{q}"))
-    )
-    rows = rows.withColumn("fence", pick("q75") + rules.spread * (pick("q75") - pick("q25")))
+    weights = f"(documents + {rules.lang_weight + rules.all_weight})"
+    drawn = lambda q: f"((documents * {q} + {rules.lang_weight} * l_{q} + {rules.all_weight} * e_{q}) div {weights})"
+    rows = rows.withColumn("low", F.expr(drawn("q25"))).withColumn("high", F.expr(drawn("q75")))
+    spread = lambda s: F.greatest(F.col("high") - F.col("low"), F.lit(s.unit).cast("long"))
+    fence = lambda s: F.max(F.when(F.col("share") == s.name, F.col("high") + rules.spread * spread(s)))
     return rows.groupBy("lang", "source").agg(
-        *(
-            F.greatest(
-                F.lit(s.floor).cast("long"),
-                F.least(F.lit(s.ceiling).cast("long"), F.max(F.when(F.col("share") == s.name, F.col("fence")))),
-            ).alias(f"max_{s.name}")
-            for s in SHARES
-        )
+        *(F.least(F.lit(s.ceiling).cast("long"), fence(s)).alias(f"max_{s.name}") for s in SHARES)
     )
 
 

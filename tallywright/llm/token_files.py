@@ -144,29 +144,33 @@ class Encoder:
         data = ids.tobytes()
         return [data[4 * a : 4 * b] for a, b in zip([0, *stops], stops)]
 
-    def _parts(self, text: str) -> list[str]:
-        """Matches of a text; words that hold what is beyond the pattern here stand as they are."""
+    def _parts(self, text: str, odd: set[str]) -> list[str]:
+        """Matches of a text; words that hold what is beyond the pattern here stand as they are, also in `odd`."""
         if not self.odd.search(text):
             return MATCHES.findall(text.lower())
         parts = []
         for word in WORDS.findall(text):
-            parts += [word] if self.odd.search(word) else MATCHES.findall(word.lower())
+            if self.odd.search(word):
+                odd.add(word)
+                parts.append(word)
+            else:
+                parts += MATCHES.findall(word.lower())
         return parts
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, u32."""
         if len(self.known) > MOST_PARTS:
             self.known, self.older = {}, self.known
-        rows, known, older = [self._parts(text or "") for text in texts], self.known, self.older
-        new = []
+        known, older, odd, new = self.known, self.older, set(), []
+        rows = [self._parts(text or "", odd) for text in texts]
         for part in set().union(*rows).difference(known):
             if part in older:
                 known[part] = older[part]
             else:
                 new.append(part)
-        odd = [part for part in new if self.odd.search(part)]
-        known.update(zip(odd, self._each(odd)))
-        plain = [part for part in new if part not in known]
+        whole = [part for part in new if part in odd]
+        known.update(zip(whole, self._each(whole)))
+        plain = [part for part in new if part not in odd] if odd else new
         for at in range(0, len(plain), 1024):
             known.update(zip(plain[at : at + 1024], self._together(plain[at : at + 1024])))
         encoded = [b"".join([known[part] for part in row]) for row in rows]
@@ -341,7 +345,7 @@ def _batch(columns: tuple[list, list, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "ids"])
 
 
-def read_files(manifest: DataFrame, range_bytes: int = 8 << 20) -> DataFrame:
+def read_files(manifest: DataFrame, range_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, start (tokens of all documents before it) and ids (u32 each, little-endian) of every record. range_bytes:
     bytes of a file that one task reads, in whole records."""
     tasks = F.greatest(F.least(F.ceil(F.col("bytes") / range_bytes), F.col("records")), F.lit(1)).cast("long")

@@ -15,13 +15,12 @@ from tallywright.llm.queries import QUERIES
 from tests.llm.test_passages import brute as without_passages
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-#: Of each share: the counts it is made of, floor, ceiling.
-SHARES = (("symbols", "words", 250, 700), ("dups", "lines", 400, 700), ("repeats", "words", 450, 500), ("chars", "words", 9000, 20000))
+#: Of each share: the counts it is made of, least spread, ceiling.
+SHARES = (("symbols", "words", 20, 700), ("dups", "lines", 45, 700), ("repeats", "words", 45, 500), ("chars", "words", 100, 20000))
 
 
 def quality(docs):
-    """Keys that pass; for fewer than 200 documents the fences are those of all."""
-    assert len(docs) < 200
+    """Keys that pass, for documents of one language and source: the quartiles of group, language and all are the same."""
     shares = {}
     for key, text in docs:
         words = re.findall(r"[^ \t\n\v\f\r]+", text)
@@ -33,10 +32,10 @@ def quality(docs):
         if len(words) >= 50 and 2 * len(hit) <= len(words):
             shares[key] = [count[a] * 1000 // count[b] if count[b] else 0 for a, b, *_ in SHARES]
     keys = set(shares)
-    for k, (*_, floor, ceiling) in enumerate(SHARES):
+    for k, (*_, unit, ceiling) in enumerate(SHARES):
         bins = sorted(min(v[k], 2 * ceiling) // 5 * 5 for v in shares.values())
         low, high = (bins[-(-part * len(bins) // 4) - 1] for part in (1, 3))
-        keys -= {key for key, v in shares.items() if v[k] > max(floor, min(ceiling, high + 6 * (high - low)))}
+        keys -= {key for key, v in shares.items() if v[k] > min(ceiling, high + 8 * max(high - low, unit))}
     return keys
 
 
