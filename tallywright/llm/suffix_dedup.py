@@ -327,7 +327,8 @@ def spans(docs: DataFrame, plan: Repeats = Repeats(), key: str = "doc_id") -> Da
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), "text").where("key is not null")
     schema = "gram long, context long, key long, place long"
     marked = _marked(plan, secrets.randbits(60))
-    dealt = rows.where(F.octet_length("text") >= plan.length).mapInPandas(marked, schema).repartition("gram")
+    # written, as two steps read them: choosing anchors costs more than their table
+    dealt = written(rows.where(F.octet_length("text") >= plan.length).mapInPandas(marked, schema), "anchors-all").repartition("gram")
     mixed = dealt.where("place >= 0").groupBy("gram").agg(F.min("context").alias("a"), F.max("context").alias("b")).where("a <> b")
     ranked = dealt.withColumn(
         "again", F.expr("place < 0 or rank() over (partition by gram, context, place < 0 order by key, place) > 1")
