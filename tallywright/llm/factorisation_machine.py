@@ -155,8 +155,9 @@ def scored(
         rows = [(np.asarray(v["at"]), np.asarray(v["x"], np.float64), y) for v, y in zip(examples["v"], examples["_y"])]
         return learn(rows, machine).saved()
 
-    sample = labelled_sample(docs, labels, label, machine.sample, key)
-    model = fitted(sample.select(F.pandas_udf(vectors, VECTOR)(*texts).alias("v"), "_y", "_order"), fit)
+    inputs = docs.select(f"`{key}`", texts[0].alias("_text"), texts[1].alias("_meta"))
+    sample = labelled_sample(inputs, labels, label, machine.sample, key)
+    model = fitted(sample.select(F.pandas_udf(vectors, VECTOR)("_text", "_meta").alias("v"), "_y", "_order"), fit)
     if model is None:
         return docs.withColumn("score", F.lit(0.5))
     shared = docs.sparkSession.sparkContext.broadcast(model)

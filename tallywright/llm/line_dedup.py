@@ -11,7 +11,7 @@ third of all documents share is counted on the map side and joined in joins that
 
 Defined results: a null text stays null and has no lines; an empty text is one empty line and stays. A text of which all
 is removed becomes empty; no document is dropped. Rows that share a key are taken for one document: what repeats only
-among them stays. Extra columns stay; names beginning with `_ld_` are reserved.
+among them stays. Extra columns stay, whatever their names; those named like a result are replaced.
 
 Chunks alone lose passages: the lines at a passage's ends share a chunk with lines around it, and a chunk of one line does
 not count. `deduplicated` keeps this result, which the SQL of op10_line_chunks defines. `without_passages`, which the
@@ -88,7 +88,7 @@ def repeated(docs: DataFrame, key: str = "doc_id", chunking: Chunking = Chunking
 def deduplicated(docs: DataFrame, key: str = "doc_id", chunking: Chunking = Chunking()) -> DataFrame:
     """docs with the remaining text, and `n_lines`, `n_removed_lines`, `n_removed_chunks`."""
     gone = repeated(docs, key, chunking).withColumnRenamed("_ld_key", "_ld_by")
-    rows = docs.drop("n_lines", "n_removed_lines", "n_removed_chunks").join(gone, F.col(f"`{key}`") == F.col("_ld_by"), "left")
+    rows = _carried(docs, key).join(gone, F.col("_ld_id") == F.col("_ld_by"), "left")
     rows = chunked(rows, chunking)
     same = "exists(_ld_gone, g -> g.at = i and g.text = c.text)"  # the comparison of bytes
     kept = F.expr(f"if(_ld_gone is null, _ld_chunks, filter(_ld_chunks, (c, i) -> not {same}))")
@@ -102,7 +102,18 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", chunking: Chunking = Chun
             "text": F.array_join(F.transform("_ld_kept", lambda c: c["text"]), "\n"),
         }
     )
-    return rows.drop("_ld_by", "_ld_gone", "_ld_chunks", "_ld_kept")
+    return _returned(rows, docs, "n_lines", "n_removed_lines", "n_removed_chunks")
+
+
+def _carried(docs: DataFrame, key: str) -> DataFrame:
+    """The text, the key and one struct of all columns, so that no name of the caller's meets one of these."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_ld_row"), F.col(f"`{key}`").alias("_ld_id"), "text")
+
+
+def _returned(rows: DataFrame, docs: DataFrame, *results: str) -> DataFrame:
+    """The caller's columns with the text as it is now, and the results."""
+    own = (F.col("text") if c.lower() == "text" else F.col(f"_ld_row.`{c}`") for c in docs.columns if c.lower() not in results)
+    return rows.select(*own, *results)
 
 
 def _windows(docs: DataFrame, chunking: Chunking) -> DataFrame:
@@ -139,7 +150,7 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", chunking: Chunking =
 def without_passages(docs: DataFrame, key: str = "doc_id", chunking: Chunking = Chunking()) -> DataFrame:
     """docs with the remaining text, and `n_lines` and `n_removed_lines`."""
     gone = repeated_windows(docs, key, chunking)
-    rows = docs.drop("n_lines", "n_removed_lines").join(gone, F.col(f"`{key}`").eqNullSafe(F.col("_ld_by")), "left")
+    rows = _carried(docs, key).join(gone, F.col("_ld_id").eqNullSafe(F.col("_ld_by")), "left")
     rows = _computed(rows, _ld_lines=F.split("text", "\n", -1))
     width = chunking.least
     same = f"array_join(slice(_ld_lines, g.at, {width}), '\n') = g.text"  # the comparison of bytes
@@ -154,4 +165,4 @@ def without_passages(docs: DataFrame, key: str = "doc_id", chunking: Chunking =
             "text": F.array_join("_ld_kept", "\n"),
         }
     )
-    return rows.drop("_ld_by", "_ld_gone", "_ld_lines", "_ld_kept")
+    return _returned(rows, docs, "n_lines", "n_removed_lines")

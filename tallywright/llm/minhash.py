@@ -290,4 +290,4 @@ def _joining(rows: pd.DataFrame, between: bool, plan: MinHash) -> list[tuple[int
 def representatives(docs: DataFrame, plan: MinHash = MinHash(), key: str = "doc_id") -> DataFrame:
     """The documents of which one stays per group: the one with the smallest id. Rows without an id stay."""
     gone = grouped(docs, plan, key).where("id <> component").select(F.col("id").alias("_gone"))
-    return docs.join(gone, F.col(f"`{key}`") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[f"`{key}`"] == gone["_gone"], "left_anti")

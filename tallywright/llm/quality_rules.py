@@ -10,8 +10,8 @@ ceiling keeps a group of mostly bad documents from being taken for normal; there
 The fences, one row per group, are joined to the documents.
 
 Defined results: a null or empty text has no words and fails the base rule. Null languages and sources are groups of
-their own. Repeated rows are judged one by one. Extra columns stay; a column whose name clashes with one that is
-computed here is replaced in the result.
+their own. Repeated rows are judged one by one. Extra columns stay, whatever their names; one named like a result is
+replaced by it.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +30,7 @@ from .words import encoded
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\v\f\r"
+ROWS_AT_ONCE = 256
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
@@ -93,18 +94,27 @@ def counts_of(text: str | None) -> tuple[int, ...]:
     return len(words), characters, symbols, len(lines) - len(set(lines)), repeated_words(words), len(lines)
 
 
-@F.pandas_udf(T.StructType([T.StructField(name, T.LongType()) for name in COUNTS]))
-def counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def _counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Counts of texts, of few at once: a worker never holds a whole batch of texts beside its Arrow form."""
     for texts in batches:
-        yield pd.DataFrame([counts_of(text) for text in texts], columns=list(COUNTS), dtype="int64")
+        for at in range(0, len(texts), ROWS_AT_ONCE):
+            rows = [counts_of(text) for text in texts.slice(at, ROWS_AT_ONCE).to_pylist()]
+            yield pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], list(COUNTS))
+
+
+_counted.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+counts = F.arrow_udf(_counted, T.StructType([T.StructField(name, T.LongType()) for name in COUNTS]))
 
 
 def measured(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """docs with the counts, the shares and `base_failed`."""
-    measures = [*COUNTS, *(s.name for s in SHARES), "base_failed", "kept", "_counts"]
-    frame = docs.drop(*(c for c in docs.columns if c.lower() in measures)).withColumn("_counts", counts("text"))
-    frame = frame.select(*(F.col(f"`{c}`") for c in frame.columns if c != "_counts"), "_counts.*")
-    return frame.withColumns({s.name: share(s) for s in SHARES}).withColumn("base_failed", base_failed(rules))
+    measures = [*COUNTS, *(s.name for s in SHARES), "base_failed", "kept"]
+    names = [c for c in docs.columns if c.lower() not in measures]
+    # the caller's columns travel in one struct, so that no name of theirs meets one of these
+    frame = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), counts("text").alias("counts"))
+    frame = frame.select("row", "counts.*").withColumns({s.name: share(s) for s in SHARES})
+    frame = frame.withColumn("base_failed", base_failed(rules))
+    return frame.select(*(F.col(f"row.`{c}`") for c in names), *(c for c in frame.columns if c != "row"))
 
 
 def share(s: Share) -> Column:
@@ -173,14 +183,15 @@ def fences(measured_docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def judged(measured_docs: DataFrame, rules: Rules = Rules(), limits: DataFrame | None = None) -> DataFrame:
     """measured documents with the cutoffs of their group and `kept`."""
     limits = fences(measured_docs, rules) if limits is None else limits
-    limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    rows = measured_docs.join(
-        limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left"
-    ).drop("_lang", "_source")
+    results = [*(f"max_{s.name}" for s in SHARES), "kept"]
+    names = [c for c in measured_docs.columns if c.lower() not in results]
+    rows = measured_docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
+    same = [F.col(f"row.{c}").eqNullSafe(F.col(c)) for c in ("lang", "source")]
     within = F.lit(True)
     for s in SHARES:
-        within = within & F.coalesce(F.col(s.name) <= F.col(f"max_{s.name}"), F.lit(False))
-    return rows.withColumn("kept", ~F.col("base_failed") & within)
+        within = within & F.coalesce(F.col(f"row.{s.name}") <= F.col(f"max_{s.name}"), F.lit(False))
+    kept = (~F.col("row.base_failed") & within).alias("kept")
+    return rows.join(limits, same, "left").select(*(F.col(f"row.`{c}`") for c in names), *results[:-1], kept)
 
 
 def kept_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -53,14 +53,18 @@ def sharded(rows: DataFrame, key: str, weights: Sequence[float], name: str = "sh
 def placed(rows: DataFrame, key: str, weights: Sequence[float], ties: Sequence[str] = (), slices: int = 4096) -> DataFrame:
     """rows with `shard` and `slot`, the row's place in its shard. slices: hash slices per shard; a task numbers whole
     slices, each about `rows / (shards * slices)` long."""
-    part = lambda frame: sharded(frame, key, weights).withColumn(
-        "_slice", (hashed(key, before="slice:") % slices).cast("int")
+    names = [c for c in rows.columns if c not in ("shard", "slot")]
+    keys = {f"k{n}": F.col(f"`{c}`") for n, c in enumerate((key, *ties))}
+    part = lambda frame: sharded(frame, "k0", weights).withColumn(
+        "slice", (hashed("k0", before="slice:") % slices).cast("int")
     )
-    counted = part(rows.select(f"`{key}`")).groupBy("shard", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    counted = part(rows.select(keys["k0"].alias("k0"))).groupBy("shard", "slice").agg(F.count(F.lit(1)).alias("rows"))
     first = counted.withColumn(
-        "_first",
-        F.expr("coalesce(sum(_rows) over (partition by shard order by _slice rows between unbounded preceding and 1 preceding), 0)"),
-    ).drop("_rows")
-    order = ", ".join(f"`{c}`" for c in (key, *ties))
-    inside = part(rows).withColumn("_place", F.expr(f"row_number() over (partition by shard, _slice order by {order})"))
-    return inside.join(first, ["shard", "_slice"]).withColumn("slot", F.col("_first") + F.col("_place") - 1).drop("_slice", "_first", "_place")
+        "first",
+        F.expr("coalesce(sum(rows) over (partition by shard order by slice rows between unbounded preceding and 1 preceding), 0)"),
+    ).drop("rows")
+    # the caller's columns travel in one struct, so that no name of theirs meets one of these
+    carried = rows.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), *(value.alias(k) for k, value in keys.items()))
+    inside = part(carried).withColumn("place", F.expr(f"row_number() over (partition by shard, slice order by {', '.join(keys)})"))
+    slot = (F.col("first") + F.col("place") - 1).alias("slot")
+    return inside.join(first, ["shard", "slice"]).select(*(F.col(f"row.`{c}`") for c in names), "shard", slot)

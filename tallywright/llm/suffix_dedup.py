@@ -370,8 +370,13 @@ _cut.__annotations__ = {"packed": pd.Series, "spans": pd.Series, "return": pd.Da
 
 def deduplicated(docs: DataFrame, plan: Repeats = Repeats(), key: str = "doc_id") -> DataFrame:
     """docs with `spans`, the maximal removed runs as byte offsets, and `kept`, the remaining bytes; without the text."""
-    gone = spans(docs, plan, key).groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("_spans"))
-    rows = docs.drop("spans", "kept").withColumn("_packed", F.pandas_udf(_packed, T.BinaryType())("text")).drop("text")
-    rows = rows.join(gone.withColumnRenamed("key", "_key"), F.col(f"`{key}`") == F.col("_key"), "left")
-    rows = rows.withColumn("_cut", F.pandas_udf(_cut, CUT)("_packed", "_spans"))
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("text", "spans", "kept")), "_cut.spans", "_cut.kept")
+    gone = spans(docs, plan, key).groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("found"))
+    names = [c for c in docs.columns if c not in ("text", "spans", "kept")]
+    # the caller's columns travel in one struct, so that no name of theirs meets one of these
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"),
+        F.col(f"`{key}`").alias("id"),
+        F.pandas_udf(_packed, T.BinaryType())("text").alias("packed"),
+    ).join(gone, F.col("id") == F.col("key"), "left")
+    rows = rows.select("row", F.pandas_udf(_cut, CUT)("packed", "found").alias("cut"))
+    return rows.select(*(F.col(f"row.`{c}`") for c in names), "cut.spans", "cut.kept")

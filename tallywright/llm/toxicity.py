@@ -102,7 +102,7 @@ def scored(
         at, weights = learn([(np.asarray(a), y) for a, y in zip(examples["at"], examples["_y"])], ftrl)
         return at.tobytes() + weights.tobytes()
 
-    sample = labelled_sample(docs, labels, label, ftrl.sample, key)
+    sample = labelled_sample(docs.select(f"`{key}`", "text"), labels, label, ftrl.sample, key)
     model = fitted(sample.select(F.pandas_udf(buckets, BUCKETS)("text").alias("at"), "_y", "_order"), fit)
     if model is None:
         return docs.withColumn("score", F.lit(0.5))

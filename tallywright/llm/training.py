@@ -21,7 +21,7 @@ def held_out(key: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, key: str = "doc_id") -> DataFrame:
-    """docs of the sample with `_y` (0 or 1) and `_order`."""
+    """docs, given with the columns that are needed alone, of the sample, with `_y` (0 or 1) and `_order`."""
     known = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{key}`").isNotNull() & ~held_out(key))
     order = F.xxhash64(F.lit("sample"), F.col(f"`{key}`"))
     sample = known.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").cast("int").alias("_y"), order.alias("_order"))

@@ -34,11 +34,15 @@ ROWS = [
     (9, "\r\n\x00\x1f\x85 x", None, None, 6),
 ]
 CLASHES = ("n_words", "kept", "score", "hits", "spans", "n_lines", "shard", "slot", "base_failed", "symbol_share", "key", "band")
+#: Names that operators use within.
+INNER = ("_lang", "_source", "max_symbol_share", "_counts", "counts", "_first", "_slice", "_place", "slice", "first", "place", "k0")
+INNER += ("_key", "_y", "_order", "_spans", "_packed", "_cut", "packed", "found", "cut", "id", "_gone", "component", "row", "_row")
+INNER += ("_ld_by", "_ld_chunks", "_ld_lines", "_ld_gone", "_ld_key", "_ld_row", "_ld_id", "part", "no", "before", "path")
 
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame(ROWS, SCHEMA).withColumns({c: F.lit("x") for c in CLASHES})
+    return spark.createDataFrame(ROWS, SCHEMA).withColumns({c: F.lit("x") for c in (*CLASHES, *INNER)})
 
 
 @pytest.fixture(scope="module")
@@ -165,6 +169,28 @@ def test_warc(spark):
     assert warc.read_archives(nothing).count() == 0
 
 
+def test_columns_of_the_caller_come_back(docs, labels, benchmark):
+    """Every extra column has its values after every operator that gives documents back, unless it is named like a result."""
+    outs = {
+        "measured": quality_rules.measured(docs),
+        "judged": quality_rules.judged(quality_rules.measured(docs)),
+        "kept": quality_rules.kept_documents(docs),
+        "lines": line_dedup.deduplicated(docs),
+        "passages": line_dedup.without_passages(docs),
+        "sharded": sharding.placed(docs, "doc_id", [1, 2]),
+        "suffixes": suffix_dedup.deduplicated(docs),
+        "representatives": minhash.representatives(docs),
+        "toxicity": toxicity.scored(docs, labels, "toxic"),
+        "quality": factorisation_machine.scored(docs, labels, "quality", metadata=("source", "_key")),
+        "cleaned": decontamination.cleaned(docs, benchmark),
+    }
+    for name, out in outs.items():
+        assert len(set(out.columns)) == len(out.columns), name
+        inner = [c for c in INNER if c != "max_symbol_share" or name != "judged"]
+        assert set(inner) <= set(out.columns), name
+        assert out.where(" or ".join(f"`{c}` is distinct from 'x'" for c in inner)).count() == 0, name
+
+
 def test_byte_bpe(spark, docs, none):
     import public_tokenizers
 
