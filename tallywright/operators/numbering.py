@@ -53,17 +53,21 @@ def with_slices(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
 
 
 def running_totals(
-    df: DataFrame, order_by: Sequence[str], totals: Mapping[str, Column], group_by: Sequence[str] = ()
+    df: DataFrame,
+    order_by: Sequence[str],
+    totals: Mapping[str, Column],
+    group_by: Sequence[str] = (),
+    ties_by: Sequence[str] = (),
 ) -> DataFrame:
     """For each name the sum of its column over the group's rows up to and including this one. Nulls count as zero.
 
     Rows are sorted per group and slice; sums per group and slice, of which a group has at most `SLICES`, are added up on
-    their own and joined. `order_by` should tell the rows of a group apart: rows that tie stay in one slice and follow one
-    another in no set order. Nulls come first.
+    their own and joined. `order_by` should tell nearly all rows of a group apart: rows that tie stay in one slice, ordered by
+    `ties_by`, which the passes for bounds and sums need not read. Nulls come first.
     """
     sliced = with_slices(df, [*group_by, *order_by], "_slice")
     sliced = sliced.withColumns({f"_of_{n}": F.coalesce(value, F.lit(0)) for n, value in totals.items()})
-    within = Window.partitionBy(*group_by, "_slice").orderBy(*[F.col(k).asc() for k in order_by])
+    within = Window.partitionBy(*group_by, "_slice").orderBy(*[F.col(k).asc() for k in (*order_by, *ties_by)])
     within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = sliced.groupBy(*group_by, "_slice").agg(*[F.sum(f"_of_{n}").alias(f"_sum_{n}") for n in totals])
     earlier = Window.partitionBy(*group_by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,9 +82,11 @@ def running_totals(
     return result
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str] = (), name: str = "row_no") -> DataFrame:
+def number_rows(
+    df: DataFrame, order_by: Sequence[str], group_by: Sequence[str] = (), name: str = "row_no", ties_by: Sequence[str] = ()
+) -> DataFrame:
     """`row_number()` over the order, within each group if groups are given, one plan for every size; see running_totals."""
-    return running_totals(df, order_by, {name: F.lit(1).cast("long")}, group_by)
+    return running_totals(df, order_by, {name: F.lit(1).cast("long")}, group_by, ties_by)
 
 
 def batch_numbers(df: DataFrame, order_by: Sequence[str], size: int, name: str = "batch_no") -> DataFrame:

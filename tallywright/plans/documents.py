@@ -142,7 +142,7 @@ def statement_pack(
         )
     heads = merchants.select(id_column, F.explode(F.array(*top)).alias("_top")).select(id_column, "_top.*")
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), bodies).join(merchants, id_column, "left_semi")
-    body = number_rows(stage(rows), [*sorted(order), "line"], [id_column, "section_no"], "_place")
+    body = number_rows(stage(rows), sorted(order), [id_column, "section_no"], "_place", ties_by=["line"])
     row_no = (F.col("_place") + (FIRST_DATA_ROW - 1)).cast("long").alias("row_no")
     return heads.unionByName(body.select(id_column, "section_no", "section", row_no, "line"))
 
