@@ -184,17 +184,27 @@ def with_hits(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = 200_000, item_id: str = "item_id"
 ) -> DataFrame:
     """docs with `hits`: n_words, spans of hit words and ids of the items found."""
-    rows = docs.withColumn("hits", F.lit(None).cast(HITS))
-    found = 0
+    return _passed(docs, benchmark, window, block_words, item_id)
+
+
+def _passed(
+    docs: DataFrame, benchmark: DataFrame, window: int, block_words: int, item_id: str, longest: int | None = None
+) -> DataFrame:
+    """docs with `hits`; with `longest` these hold also `cut`, the text without spans of as many words."""
+    context = docs.sparkSession.sparkContext
+    rows, last = docs.withColumn("hits", F.lit(None).cast(HITS)), None
     for items in blocks(benchmark, item_id, block_words):
-        if found:
-            rows = written(rows, "benchmark-hits")
-        rows = rows.withColumn("hits", _pass(docs.sparkSession.sparkContext.broadcast(items), window)("text", "hits"))
-        found += 1
+        if last is not None:
+            rows = written(rows.withColumn("hits", _pass(context.broadcast(last), window)("text", "hits")), "benchmark-hits")
+        last = items
+    if last is not None:
+        rows = rows.withColumn("hits", _pass(context.broadcast(last), window, longest)("text", "hits"))
     return rows
 
 
-def _pass(shared, window: int):
+def _pass(shared, window: int, longest: int | None = None):
+    """Hits of one block of items beside those of earlier ones. The last pass may cut as well, so that one worker does both;
+    it is then told not to be worked out again for a filter on its results."""
     key = uuid.uuid4().hex
 
     def marked(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
@@ -210,11 +220,15 @@ def _pass(shared, window: int):
                 if spans is not None and len(spans):
                     new_spans = joined([*new_spans, *((s["begin"], s["end"]) for s in spans)])
                 ids = sorted({*(i for i in new_ids if i is not None), *([] if ids is None else map(int, ids))})
-                rows.append((len(words), [{"begin": b, "end": e} for b, e in new_spans], ids))
-            yield pd.DataFrame(rows, columns=["n_words", "spans", "items"])
+                found = [{"begin": b, "end": e} for b, e in new_spans]
+                left = () if longest is None else (cut(text, [s for s in found if s["end"] - s["begin"] >= longest]),)
+                rows.append((len(words), found, ids, *left))
+            yield pd.DataFrame(rows, columns=["n_words", "spans", "items", *(() if longest is None else ("cut",))])
 
     marked.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.DataFrame]], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(marked, HITS)
+    if longest is None:
+        return F.pandas_udf(marked, HITS)
+    return F.pandas_udf(marked, T.StructType([*HITS.fields, T.StructField("cut", T.StringType())])).asNondeterministic()
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -255,13 +269,8 @@ def cleaned(
     """docs with their own columns: spans of at least `longest` hit words are cut out of the text; documents with
     `coverage` percent or more of their words hit are dropped."""
 
-    def cut_all(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([cut(t, s) for t, s in zip(texts, spans)], dtype=object)
-
-    cut_all.__annotations__ = {"texts": pd.Series, "spans": pd.Series, "return": pd.Series}
     rows = docs.withColumn("_row", F.struct(*(F.col(f"`{c}`") for c in docs.columns))).select("_row", "text")
-    rows = with_hits(rows, benchmark, window, block_words)
-    rows = rows.where(~((n_hit() > 0) & (100 * n_hit() >= coverage * F.col("hits.n_words"))))
-    spans = F.filter("hits.spans", lambda s: s["end"] - s["begin"] >= longest)
-    rows = rows.withColumn("_text", F.pandas_udf(cut_all, T.StringType())("text", spans))
-    return rows.select(*(F.col("_text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
+    rows = _passed(rows, benchmark, window, block_words, "item_id", longest)
+    left = F.col("hits.cut") if "cut" in rows.schema["hits"].dataType.names else F.col("text")
+    rows = rows.where(~F.coalesce((n_hit() > 0) & (100 * n_hit() >= coverage * F.col("hits.n_words")), F.lit(False)))
+    return rows.select(*(left.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
