@@ -45,6 +45,8 @@ LARGEST = 64 << 20
 ROWS_AT_ONCE = 256
 MOST_PARTS = 400_000
 LONGEST_REMEMBERED = 64
+#: Matches that go through the library as one text; it slows down with the length of a text.
+PARTS_AT_ONCE = 64
 
 #: The normaliser and the pattern of the vocabularies that can be encoded by words.
 SUPPORTED = (
@@ -119,10 +121,15 @@ class Encoder:
     """Ids of texts through the tokenizers library, which sees each match of the pattern once while it is remembered."""
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         check_supported(vocabulary)
         self.library, parts = Tokenizer.from_str(vocabulary), json.loads(vocabulary)
+        # the same merges for matches, which are normalised and parted already
+        self.plain = Tokenizer.from_str(vocabulary)
+        self.plain.normalizer = normalizers.Sequence([])
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), byte_level])
         odd = [re.escape(token["content"]) for token in parts["added_tokens"]]
         self.odd = re.compile("|".join([BEYOND, *odd]))
         names = self.library.get_vocab()
@@ -137,7 +144,7 @@ class Encoder:
 
     def _together(self, parts: list[str]) -> list[bytes]:
         """Ids of single matches, encoded as one text and parted after the tokens that end a word."""
-        ids = np.array(self.library.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.plain.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
         stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
         if len(stops) != len(parts):
             return self._each(parts)
@@ -171,8 +178,8 @@ class Encoder:
         whole = [part for part in new if part in odd]
         known.update(zip(whole, self._each(whole)))
         plain = [part for part in new if part not in odd] if odd else new
-        for at in range(0, len(plain), 1024):
-            known.update(zip(plain[at : at + 1024], self._together(plain[at : at + 1024])))
+        for at in range(0, len(plain), PARTS_AT_ONCE):
+            known.update(zip(plain[at : at + PARTS_AT_ONCE], self._together(plain[at : at + PARTS_AT_ONCE])))
         encoded = [b"".join([known[part] for part in row]) for row in rows]
         for part in new:
             if len(part) > LONGEST_REMEMBERED:
