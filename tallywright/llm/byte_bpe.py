@@ -306,6 +306,7 @@ def round_trip(spark: SparkSession, vocabulary: str, pattern: str) -> Callable[.
                 ids = _list_array([work.encode(text) for text in texts_of])
                 same = ["".join(work.decode(_chunks(row))) == (text or "") for row, text in zip(ids, texts_of)]
                 yield pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "same"])
+            pa.default_memory_pool().release_unused()
         _codecs.clear()  # the worker may go on with other stages
 
     encode.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -30,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ from .components import components
 from .storage import written
 from .words import lower_words
 
+ROWS_AT_ONCE = 256
 SKETCH = T.StructType(
     [
         T.StructField("n_shingles", T.LongType()),
@@ -113,15 +115,20 @@ def bands_of(hashes: np.ndarray, plan: MinHash) -> np.ndarray:
 def sketched(docs: DataFrame, plan: MinHash, key: str = "doc_id") -> DataFrame:
     """id, n_shingles, fingerprint of the set, bands."""
 
-    def sketch(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            hashes = shingles(text, plan.shingle)
-            rows.append((len(hashes), xxhash.xxh128_digest(hashes.tobytes()), bands_of(hashes, plan)))
-        return pd.DataFrame(rows, columns=["n_shingles", "fingerprint", "bands"])
-
-    sketch.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
-    rows = docs.select(F.col(f"`{key}`").alias("id"), F.pandas_udf(sketch, SKETCH)("text").alias("s"))
+    def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for at in range(0, len(texts), ROWS_AT_ONCE):  # a worker never holds a whole batch of texts beside its Arrow form
+                sets = [shingles(text, plan.shingle) for text in texts.slice(at, ROWS_AT_ONCE).to_pylist()]
+                columns = [
+                    pa.array([len(hashes) for hashes in sets], pa.int64()),
+                    pa.array([xxhash.xxh128_digest(hashes.tobytes()) for hashes in sets], pa.binary()),
+                    pa.array([bands_of(hashes, plan) for hashes in sets], pa.list_(pa.int64())),
+                ]
+                yield pa.StructArray.from_arrays(columns, ["n_shingles", "fingerprint", "bands"])
+            pa.default_memory_pool().release_unused()
+
+    sketch.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.arrow_udf(sketch, SKETCH)("text").alias("s"))
     return rows.select("id", "s.*")
 
 

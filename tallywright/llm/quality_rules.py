@@ -100,6 +100,7 @@ def _counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for at in range(0, len(texts), ROWS_AT_ONCE):
             rows = [counts_of(text) for text in texts.slice(at, ROWS_AT_ONCE).to_pylist()]
             yield pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], list(COUNTS))
+        pa.default_memory_pool().release_unused()
 
 
 _counted.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
