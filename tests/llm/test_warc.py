@@ -1,6 +1,7 @@
 """Archives with damaged members, other versions and record types, embedded members and long payloads."""
 
 import gzip
+import hashlib
 import os
 import random
 import zlib
@@ -13,7 +14,7 @@ from tallywright.llm import warc
 
 def member(page, payload, level=6):
     """A record as the writer makes it, at a compression level."""
-    data = gzip.decompress(warc.record(page, f"http://x/{page}", payload, __import__("hashlib").sha1(payload).hexdigest(), None))
+    data = gzip.decompress(warc.record(page, f"http://x/{page}", payload, hashlib.sha1(payload).hexdigest(), None))
     pack = zlib.compressobj(level, zlib.DEFLATED, 31)
     return pack.compress(data) + pack.flush()
 
