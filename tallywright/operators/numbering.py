@@ -43,13 +43,13 @@ def with_slices(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
 
     The bounds are one value that all rows refer to; they are dropped before rows are written anywhere.
     """
-    bounds, step = slice_bounds(df, columns).scalar(), SLICES // 2
-    rows = df.withColumns({"_key": _key(columns), "_bounds": bounds, name: F.lit(0)})
-    while step:
-        reached = F.get("_bounds", F.col(name) + (step - 1)) <= F.col("_key")
-        rows = rows.withColumn(name, F.col(name) + F.when(reached, step).otherwise(0))
-        step //= 2
-    return rows.drop("_key", "_bounds")
+    bounds = slice_bounds(df, columns).scalar()
+    rows = df.withColumns({"_key": _key(columns), "_bounds": bounds})
+    # one select whose columns build on one another, as each further one would analyse the whole plan again
+    halves = [SLICES >> (n + 1) for n in range(SLICES.bit_length() - 1)]
+    found = [F.expr(f"_s{n} + if(get(_bounds, _s{n} + {half - 1}) <= _key, {half}, 0)").alias(f"_s{n + 1}") for n, half in enumerate(halves)]
+    rows = rows.select(*(F.col(f"`{c}`") for c in rows.columns), F.lit(0).alias("_s0"), *found)
+    return rows.select(*(F.col(f"`{c}`") for c in df.columns), F.col(f"_s{len(halves)}").alias(name))
 
 
 def running_totals(
