@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import SparkSession
 
 from tallywright.registry import QUERIES
+from tallywright.registry.views import TASKS_PER_SCAN, LogicalTables
+from tallywright.sources.tables import read_table
 
 
 def physical(df) -> str:
@@ -89,3 +91,12 @@ def test_no_job_while_a_plan_is_built(spark, sf_dir, name):
 def test_payments_are_scanned_once(spark, sf_dir):
     plan = physical(QUERIES["store_quarter_transactions"](spark, sf_dir))
     assert len(re.findall(r"orders\.parquet", plan)) == 1
+
+
+@pytest.mark.parametrize("name", ["agg_expr_key", "win_row_number_grouped", "sort_rows", "date_expressions", "union_all", "join_composite_left", "join_left"])
+def test_transactions_are_dealt_over_tasks_that_follow_the_scan(no_broadcast, sf_dir, name):
+    """The stage that sorts and hashes every line is not left to adaptive execution, which would join its tasks together."""
+    tables = LogicalTables(no_broadcast, sf_dir)
+    assert tables.tasks == TASKS_PER_SCAN * read_table(no_broadcast, sf_dir, "lineitem").rdd.getNumPartitions()
+    dealt = re.findall(r"Exchange hashpartitioning\(([lo]_orderkey)#\d+L?, (\d+)\), REPARTITION_BY_NUM", physical(QUERIES[name](no_broadcast, sf_dir)))
+    assert set(dealt) == {("l_orderkey", str(tables.tasks)), ("o_orderkey", str(tables.tasks))}
