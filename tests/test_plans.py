@@ -100,3 +100,11 @@ def test_transactions_are_dealt_over_tasks_that_follow_the_scan(no_broadcast, sf
     assert tables.tasks == TASKS_PER_SCAN * read_table(no_broadcast, sf_dir, "lineitem").rdd.getNumPartitions()
     dealt = re.findall(r"Exchange hashpartitioning\(([lo]_orderkey)#\d+L?, (\d+)\), REPARTITION_BY_NUM", physical(QUERIES[name](no_broadcast, sf_dir)))
     assert set(dealt) == {("l_orderkey", str(tables.tasks)), ("o_orderkey", str(tables.tasks))}
+
+
+@pytest.mark.parametrize("name", ["agg_count_distinct", "stmt_payout_level", "stmt_summary_level"])
+def test_bridge_and_transactions_are_dealt_alike(no_broadcast, sf_dir, name):
+    tasks = LogicalTables(no_broadcast, sf_dir).tasks
+    plan = physical(QUERIES[name](no_broadcast, sf_dir))
+    for key in ("bridge_txn_id", "txn_id"):
+        assert len(re.findall(rf"Exchange hashpartitioning\({key}#\d+, {tasks}\), REPARTITION_BY_NUM", plan)) == 1
