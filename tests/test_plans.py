@@ -108,3 +108,10 @@ def test_bridge_and_transactions_are_dealt_alike(no_broadcast, sf_dir, name):
     plan = physical(QUERIES[name](no_broadcast, sf_dir))
     for key in ("bridge_txn_id", "txn_id"):
         assert len(re.findall(rf"Exchange hashpartitioning\({key}#\d+, {tasks}\), REPARTITION_BY_NUM", plan)) == 1
+
+
+def test_ledger_lines_are_shuffled_by_merchant_once(no_broadcast, sf_dir):
+    """Lines, of which a merchant has few per day, are not added up per merchant and day before they meet the entity tree."""
+    plan = physical(QUERIES["operating_account"](no_broadcast, sf_dir))
+    by_merchant = re.findall(r"Exchange hashpartitioning\((?:fact_merchant|merchant_entity_id)#\d+, [^)]*", plan)
+    assert by_merchant and not [x for x in by_merchant if "#" in x.partition(", ")[2]]
