@@ -297,23 +297,26 @@ def settlement_wide(f: Franchise, params: FranchiseParams) -> DataFrame:
 STAGED = ("CoreId", "CoreTypeId", "Location", "ClubState", "Category", "Amount", "ExternalStoreId", "CollectionsBy")
 
 
-def settlement_long(f: Franchise, params: FranchiseParams) -> DataFrame:
+def settlement_long(f: Franchise, params: FranchiseParams, added_up: bool = False) -> DataFrame:
+    """added_up: the measures of a store's settlement rows are added up while they are columns, before they are made long."""
     wide = settlement_wide(f, params)
     ids = ["CoreId", "CoreTypeId", "Location", "ClubState", "ExternalStoreId", "CollectionsBy"]
     measures = [c for c in wide.columns if c not in (*ids, "ReconcileId", "ToDate", "FromDate")]
+    if added_up:
+        wide = wide.groupBy(*ids).agg(*[F.sum(c).alias(c) for c in measures])
     return unpivot_present(wide, ids, measures, "Category", "Amount").select(*STAGED)
 
 
 LINE, ADJUSTMENT = "line", "adjustment"
 
 
-def _fee_parts(f: Franchise, params: FranchiseParams, kinds: Sequence[str]) -> DataFrame:
+def _fee_parts(f: Franchise, params: FranchiseParams, kinds: Sequence[str], added_up: bool = False) -> DataFrame:
     """Fee lines outside the corporate category, and adjustments to fees added up per category, store and location.
 
     Log rows and facts are tagged by kind and keyed alike - a fee line by its settlement row, an adjustment by
     reconciliation, store and type - so each table is read once for both. Rows that share a key, and equal fee lines, are
     counted and added up before they are joined, so a key that many rows share is never paired out; fee lines come back
-    one by one at the end.
+    one by one at the end, or as one row with their sum if they are to be added up.
     """
     tag = lambda kind, *keys: F.struct(
         F.lit(kind).alias("kind"), *[(F.lit(0) if k is None else F.col(k)).cast("long").alias(f"k{n}") for n, k in enumerate(keys)]
@@ -367,13 +370,17 @@ def _fee_parts(f: Franchise, params: FranchiseParams, kinds: Sequence[str]) -> D
     alike = ["kind", "category_name", "CoreId", "CoreTypeId", "LocationName", "line_amount"]
     total = F.sum("adjusted").over(Window.partitionBy(*alike))
     times = F.when(is_line, F.col("lines")).otherwise(F.lit(1)).cast("int")
-    return reduced.withColumn("total", total).withColumn("copy", F.explode(F.sequence(F.lit(1), times))).select(
+    value = fixed_point(F.when(is_line, F.col("line_amount")).otherwise(F.col("total")))
+    parts = reduced.withColumn("total", total)
+    if not added_up:
+        parts = parts.withColumn("copy", F.explode(F.sequence(F.lit(1), times)))
+    return parts.select(
         "CoreId",
         "CoreTypeId",
         _location("CoreId").alias("Location"),
         "ClubState",
         F.when(is_line, F.col("category_name")).otherwise(F.concat(F.trim("category_name"), F.lit("adj"))).alias("Category"),
-        fixed_point(F.when(is_line, F.col("line_amount")).otherwise(F.col("total"))).alias("Amount"),
+        (value * times if added_up else value).alias("Amount"),
         F.col("ExternalStoreID").alias("ExternalStoreId"),
         "CollectionsBy",
     )
@@ -389,9 +396,11 @@ def fee_adjustments(f: Franchise, params: FranchiseParams) -> DataFrame:
     return _fee_parts(f, params, [ADJUSTMENT])
 
 
-def staging(f: Franchise, params: FranchiseParams) -> DataFrame:
-    """All four parts in one long table."""
-    parts = category_skeleton(f, params), settlement_long(f, params), _fee_parts(f, params, [LINE, ADJUSTMENT])
+def staging(f: Franchise, params: FranchiseParams, added_up: bool = False) -> DataFrame:
+    """All four parts in one long table; if a reader only adds amounts up per store and category, with fewer rows that have
+    the same sums."""
+    fees = _fee_parts(f, params, [LINE, ADJUSTMENT], added_up)
+    parts = category_skeleton(f, params), settlement_long(f, params, added_up), fees
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -465,7 +474,7 @@ def franchise_fee_report(
     categories = known_categories(f) if categories is None else categories
     ids = ["CoreId", "CoreTypeId", "Location", "ExternalStoreId", "CollectionsBy", "ClubState"]
     long = (
-        staging(f, params)
+        staging(f, params, added_up=True)
         .withColumn("Category", one_spelling(F.col("Category"), categories))
         .groupBy(*ids, "Category")
         .agg(F.sum(zero_if_null(F.col("Amount"))).alias("Amount"))

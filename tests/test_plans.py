@@ -115,3 +115,10 @@ def test_ledger_lines_are_shuffled_by_merchant_once(no_broadcast, sf_dir):
     plan = physical(QUERIES["operating_account"](no_broadcast, sf_dir))
     by_merchant = re.findall(r"Exchange hashpartitioning\((?:fact_merchant|merchant_entity_id)#\d+, [^)]*", plan)
     assert by_merchant and not [x for x in by_merchant if "#" in x.partition(", ")[2]]
+
+
+def test_the_report_adds_settlements_up_before_they_are_made_long(spark, sf_dir):
+    """A store's measures are columns until they are sums, and its fee lines are not spread into one row each."""
+    plan = optimized(QUERIES["franchise_fee_report"](spark, sf_dir))
+    assert re.search(r"Expand[^\n]*\n[\s:|+-]*Aggregate", plan) and "explode(sequence(" not in plan
+    assert "explode(sequence(" in optimized(QUERIES["franchise_fee_staging"](spark, sf_dir))
