@@ -22,6 +22,7 @@ from tallywright.operators import (
     running_totals,
     unpivot_present,
 )
+from tallywright.operators import packing
 from tallywright.operators.rangesums import covered_days
 from tallywright.plans import stores
 from tallywright.operators.numbering import SLICES, slice_bounds, with_slices
@@ -268,3 +269,24 @@ def test_list_relation(spark):
     assert text.split_list(" b, a,,b ") == ["b", "a"] and text.number_list("3, 1,3") == (3, 1) and text.number_list(None) is None
     params = stores.StoreParams(remit_groups="5, 6", statuses="1,2", site_types=(3,), brand_ids="all")
     assert (params.remit_groups, params.statuses, params.site_types, params.brand_ids) == ((5, 6), (1, 2), (3,), "all")
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    """Nulls, empty texts, separators, escapes and what nulls are written as are told apart, also after packing twice."""
+    values = [None, "", "a", "\x1f", "\x1e", "\x1e0", "\x1e1", "\x1e2", "\x1e\x1f", "a\x1fb", "\x1e\x1e2", "\n", "."]
+    rows = [(a, b, c) for a in values for b in values for c in (None, "", "\x1f\x1e2")]
+    df = spark.createDataFrame(rows, "a string, b string, c string").select(
+        "a", "b", "c", packing.packed([F.col("a"), F.col("b")]).alias("two"), packing.packed([F.col("c")]).alias("one")
+    )
+    df = df.withColumn("texts", packing.packed_again("two", "one"))
+    found = df.withColumn("parts", packing.parts(F.col("texts"))).select(
+        "a", "b", "c", *[packing.unpacked(F.col("parts"), n).alias(f"back_{n}") for n in range(3)], packing.last_value(F.col("texts")).alias("last")
+    )
+    assert all((r.a, r.b, r.c, r.c) == (r.back_0, r.back_1, r.back_2, r.last) for r in found.collect())
+
+
+def test_spans_give_times_back(spark):
+    times = [None, dt.datetime(1, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(2024, 3, 10, 2, 30), dt.datetime(9999, 12, 31)]
+    df = spark.createDataFrame([(a, b) for a in times for b in times], "a timestamp_ntz, b timestamp_ntz")
+    found = df.select("a", F.col("b").alias("was"), packing.spanned("b", since="a")).select("was", packing.unspanned("b", since="a"))
+    assert all(r.was == r.b for r in found.collect())

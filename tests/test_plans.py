@@ -122,3 +122,10 @@ def test_the_report_adds_settlements_up_before_they_are_made_long(spark, sf_dir)
     plan = optimized(QUERIES["franchise_fee_report"](spark, sf_dir))
     assert re.search(r"Expand[^\n]*\n[\s:|+-]*Aggregate", plan) and "explode(sequence(" not in plan
     assert "explode(sequence(" in optimized(QUERIES["franchise_fee_staging"](spark, sf_dir))
+
+
+def test_ledger_rows_are_put_in_order_with_one_text(spark, sf_dir):
+    """Texts that no join or order needs travel as one, and a merchant's ancestors join after the rows were dealt by time."""
+    plan = optimized(QUERIES["transaction_ledger"](spark, sf_dir))
+    columns = re.search(r"RepartitionByExpression \[created_at[^\n]*\n[^\n]*Union[^\n]*\n[^\n]*Project \[([^\n]*)\]", plan).group(1)
+    assert len(columns.split(", ")) <= 14 and not re.search("merchant_name|business_|division_|currency|status", columns)

@@ -92,6 +92,20 @@ def test_ledger_exclusions_and_charge_floor(platform):
     assert found == ["c1", "c2", "t1", "t2", "t3", "t5", "t6"]
 
 
+def test_ledger_keeps_any_text_and_time(spark, platform):
+    """Separators of packed texts, nulls, a time before the creation and a merchant of two names come out as they went in."""
+    odd = {"currency": "\x1fU\x1e2", "mid": None, "type": "", "status": "\x1e", "created_at": None, "funded_at": T0 - dt.timedelta(days=9999, microseconds=1)}
+    changed = platform.transaction.filter("id = 't1'").withColumns({c: F.lit(v).cast(platform.transaction.schema[c].dataType) for c, v in odd.items()})
+    tree = platform.entity.unionByName(spark.createDataFrame([("m1", "Shop\x1f1", 5, "b1"), ("b1", "B\x1e", 4, "g2")], ENTITY))
+    p = dataclasses.replace(platform, transaction=changed, entity=tree)
+    rows = ledgers.transaction_ledger(p).collect()
+    assert sorted((r.merchant_name, r.business_name, r.division_id) for r in rows) == [
+        (m, b, d) for m in ("Shop\x1f1", "Shop 1") for b, d in (("B", "d1"), ("B\x1e", "d2"))
+    ]
+    for r in rows:
+        assert {c: r[c] for c in odd} == odd and r.settled_at == T0 and r.merchant_id == r.merchant_entity_id == "m1"
+
+
 @pytest.fixture(scope="module")
 def processor(spark):
     d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
