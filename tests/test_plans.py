@@ -129,3 +129,9 @@ def test_ledger_rows_are_put_in_order_with_one_text(spark, sf_dir):
     plan = optimized(QUERIES["transaction_ledger"](spark, sf_dir))
     columns = re.search(r"RepartitionByExpression \[created_at[^\n]*\n[^\n]*Union[^\n]*\n[^\n]*Project \[([^\n]*)\]", plan).group(1)
     assert len(columns.split(", ")) <= 14 and not re.search("merchant_name|business_|division_|currency|status", columns)
+
+
+def test_statement_rows_meet_intents_with_one_text(no_broadcast, sf_dir):
+    plan = optimized(QUERIES["stmt_transaction_level"](no_broadcast, sf_dir))
+    columns = re.search(r"Join LeftOuter, \(payment_intent_id[^\n]*\n[^\n]*Project \[([^\n]*)\]", plan).group(1)
+    assert "texts" in columns and not re.search("currency|merchant_name#|division_|mfp_id|settled_at#[^ ]* AS", columns)

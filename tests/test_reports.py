@@ -92,7 +92,7 @@ def test_ledger_exclusions_and_charge_floor(platform):
     assert found == ["c1", "c2", "t1", "t2", "t3", "t5", "t6"]
 
 
-def test_ledger_keeps_any_text_and_time(spark, platform):
+def test_ledger_and_statement_keep_any_text_and_time(spark, platform):
     """Separators of packed texts, nulls, a time before the creation and a merchant of two names come out as they went in."""
     odd = {"currency": "\x1fU\x1e2", "mid": None, "type": "", "status": "\x1e", "created_at": None, "funded_at": T0 - dt.timedelta(days=9999, microseconds=1)}
     changed = platform.transaction.filter("id = 't1'").withColumns({c: F.lit(v).cast(platform.transaction.schema[c].dataType) for c, v in odd.items()})
@@ -104,6 +104,8 @@ def test_ledger_keeps_any_text_and_time(spark, platform):
     ]
     for r in rows:
         assert {c: r[c] for c in odd} == odd and r.settled_at == T0 and r.merchant_id == r.merchant_entity_id == "m1"
+    rows = statements.transaction_statement(p).collect()
+    assert len(rows) == 4 and {(r.currency, r.type, r.created_at, r.settled_at, r.mfp_id) for r in rows} == {("\x1fU\x1e2", "", None, T0, "f1")}
 
 
 @pytest.fixture(scope="module")
