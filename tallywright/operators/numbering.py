@@ -61,25 +61,24 @@ def running_totals(
 ) -> DataFrame:
     """For each name the sum of its column over the group's rows up to and including this one. Nulls count as zero.
 
-    Rows are sorted per group and slice; sums per group and slice, of which a group has at most `SLICES`, are added up on
-    their own and joined. `order_by` should tell nearly all rows of a group apart: rows that tie stay in one slice, ordered by
-    `ties_by`, which the passes for bounds and sums need not read. Nulls come first.
+    Rows are sorted per group and slice. Sums per group and slice, of which a group has at most `SLICES`, are added up on their
+    own; what stands before a group's later slices comes as one more row at their head, so that rows are shuffled once.
+    `order_by` should tell nearly all rows of a group apart: rows that tie stay in one slice, ordered by `ties_by`, which the
+    passes for bounds and sums need not read. Nulls come first.
     """
     sliced = with_slices(df, [*group_by, *order_by], "_slice")
     sliced = sliced.withColumns({f"_of_{n}": F.coalesce(value, F.lit(0)) for n, value in totals.items()})
-    within = Window.partitionBy(*group_by, "_slice").orderBy(*[F.col(k).asc() for k in (*order_by, *ties_by)])
-    within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = sliced.groupBy(*group_by, "_slice").agg(*[F.sum(f"_of_{n}").alias(f"_sum_{n}") for n in totals])
     earlier = Window.partitionBy(*group_by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        *[F.col(g).alias(f"_group_{g}") for g in group_by],
-        F.col("_slice").alias("_of_slice"),
-        *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in totals],
-    )
-    match = [F.col("_slice") == F.col("_of_slice")] + [F.col(g).eqNullSafe(F.col(f"_group_{g}")) for g in group_by]
-    placed = sliced.withColumns({f"_in_{n}": F.sum(f"_of_{n}").over(within) for n in totals}).join(offsets, match)
-    result = placed.select(*df.columns, *[(F.col(f"_in_{n}") + F.col(f"_before_{n}")).alias(n) for n in totals])
-    return result
+        *group_by, "_slice", F.lit(True).alias("_before"), *[F.sum(f"_sum_{n}").over(earlier).alias(f"_of_{n}") for n in totals]
+    ).filter(" or ".join(f"`_of_{n}` is not null" for n in totals))
+    within = Window.partitionBy(*group_by, "_slice").orderBy(F.col("_before").desc_nulls_last(), *[F.col(k).asc() for k in (*order_by, *ties_by)])
+    within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = sliced.unionByName(offsets, allowMissingColumns=True)
+    placed = rows.withColumns({f"_in_{n}": F.sum(f"_of_{n}").over(within) for n in totals}).filter(F.col("_before").isNull())
+    kinds = sums.agg(*[(F.max(f"_sum_{n}") + F.sum(f"_sum_{n}")).alias(n) for n in totals]).schema
+    return placed.select(*df.columns, *[F.col(f"_in_{n}").cast(kinds[n].dataType).alias(n) for n in totals])
 
 
 def number_rows(

@@ -14,7 +14,7 @@ from tallywright.functions.money import dollars
 from tallywright.operators.numbering import batch_numbers, first_in_group, number_rows, occurrence_count
 from tallywright.operators.reshape import column_widths
 from tallywright.sources.staging import staged
-from tallywright.plans.statements import FAILED, Platform, monthly_charges, payout_statement, summary_statement
+from tallywright.plans.statements import FAILED, Platform, covered_payouts, monthly_charges, payout_statement, summary_statement
 
 MARKER = "n/a"
 
@@ -48,12 +48,14 @@ def workbook_widths(
 
 @dataclass(frozen=True)
 class Section:
-    """One sheet of a statement: its rows, their order, and whether merchant id and name stay in it."""
+    """One sheet of a statement: its rows, their order, whether merchant id and name stay in it, and whether its rows are known
+    to be of the pack's merchants only."""
 
     title: str
     rows: DataFrame
     order_by: Sequence[str]
     keep_ids: bool = False
+    of_pack: bool = False
 
 
 # The letterhead, and the sheet rows on which title, headings and data start.
@@ -99,6 +101,12 @@ def _ordered(section: Section) -> dict[str, Column]:
     return found
 
 
+def pack_merchants(first: DataFrame, targets: DataFrame | None = None, id_column: str = "merchant_id") -> DataFrame:
+    """The merchants of a pack: those of its first section, or the targets among them."""
+    merchants = first.select(id_column).filter(F.col(id_column).isNotNull()).distinct()
+    return merchants if targets is None else merchants.join(targets.select(id_column), id_column, "left_semi")
+
+
 def statement_pack(
     sections: Sequence[Section],
     targets: DataFrame | None = None,
@@ -116,9 +124,7 @@ def statement_pack(
     """
     first = sections[0].rows
     filters.require_columns(first, [id_column, name_column])
-    merchants = first.select(id_column).filter(F.col(id_column).isNotNull()).distinct()
-    if targets is not None:
-        merchants = merchants.join(targets.select(id_column), id_column, "left_semi")
+    merchants = pack_merchants(first, targets, id_column)
     top, bodies, order = [], [], {}
     for number, section in enumerate(sections, start=1):
         hidden = () if section.keep_ids else (id_column, name_column)
@@ -131,20 +137,21 @@ def statement_pack(
         cells = [cell(F.col(c), section.rows.schema[c].dataType) for c in shown]
         keys = _ordered(section)
         order |= dict.fromkeys(sorted(keys))
+        of_pack = section.rows if section.of_pack else section.rows.join(merchants, id_column, "left_semi")
         bodies.append(
-            section.rows.select(
+            of_pack.select(
                 id_column,
                 F.lit(number).alias("section_no"),
-                F.lit(section.title).alias("section"),
                 F.concat_ws(CELL_SEPARATOR, *cells).alias("line"),
                 *[value.alias(name) for name, value in keys.items()],
             )
         )
     heads = merchants.select(id_column, F.explode(F.array(*top)).alias("_top")).select(id_column, "_top.*")
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), bodies).join(merchants, id_column, "left_semi")
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), bodies)
     body = number_rows(stage(rows), sorted(order), [id_column, "section_no"], "_place", ties_by=["line"])
     row_no = (F.col("_place") + (FIRST_DATA_ROW - 1)).cast("long").alias("row_no")
-    return heads.unionByName(body.select(id_column, "section_no", "section", row_no, "line"))
+    title = F.element_at(F.array(*[F.lit(section.title) for section in sections]), F.col("section_no")).alias("section")
+    return heads.unionByName(body.select(id_column, "section_no", title, row_no, "line"))
 
 
 def statement_file_names(
@@ -285,15 +292,19 @@ class StatementRun:
     batches: DataFrame
 
 
-def statement_sections(p: Platform, account_info: DataFrame) -> list[Section]:
-    """The five sheets of a merchant's statement from the statement reports."""
-    summary = summary_statement(p).drop("division_name", "division_id")
-    deposits = payout_statement(p).drop("division_name", "division_id")
+def statement_sections(
+    p: Platform, account_info: DataFrame, targets: DataFrame | None = None, stage: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> list[Section]:
+    """The five sheets of a merchant's statement from the statement reports. Three of them are added up from the same rows,
+    payouts beside the fee payouts that cover them; `stage` may write those once and return what was written."""
+    covered = stage(covered_payouts(p, with_charges=True))
+    summary = summary_statement(p, covered, pack_merchants(account_info, targets)).drop("division_name", "division_id")
+    deposits = payout_statement(p, covered).drop("division_name", "division_id")
     fees = p.fee_payout.filter(F.col("status") != FAILED).select("merchant_id", F.col("id").alias("fee_payout"), "created_at", dollars(F.col("amount")).alias("amount"))
-    charges = monthly_charges(p).select("merchant_id", "statement_year", "statement_month_sort", "mfp_created_at", "total_charges")
+    charges = monthly_charges(p, covered).select("merchant_id", "statement_year", "statement_month_sort", "mfp_created_at", "total_charges")
     return [
         Section("Account Info", account_info, ["merchant_id", "merchant_name"], keep_ids=True),
-        Section("Summary", summary, ["mfp_created_at", "mp_id"]),
+        Section("Summary", summary, ["mfp_created_at", "mp_id"], of_pack=True),
         Section("Deposit Detail", deposits, ["mp_created_at", "mp_id", "mfp_created_at"]),
         Section("Platform Fees", fees, ["created_at", "fee_payout"]),
         Section("Charges", charges, ["mfp_created_at"]),
@@ -316,8 +327,10 @@ def statement_run(
 ) -> StatementRun:
     """A whole run: the statement reports become the packs' sheets, each pack gets its file name, and the files of this run
     are the attachments of its mails. `folder` is where the documents will stand; a recipient's own path is not used. The
-    rows of all sheets are worked out once, now, and staged under the run's id."""
-    pack = statement_pack(statement_sections(p, account_info), targets, stage=lambda rows: staged(rows, staging_path, run_id))
+    rows of all sheets, and those that three of the sheets are added up from, are worked out once, now, and staged under the
+    run's id."""
+    sections = statement_sections(p, account_info, targets, stage=lambda rows: staged(rows, f"{staging_path}-payouts", run_id))
+    pack = statement_pack(sections, targets, stage=lambda rows: staged(rows, staging_path, run_id))
     files = run_files(account_info, folder, targets, settings)
     manifest = run_manifest(recipients, config, files, today)
     batches = statement_batches(files, period_start, period_end, settings)

@@ -417,6 +417,37 @@ def test_statement_pack(spark):
     assert {r.merchant_id for r in only.collect()} == {"m2"}
 
 
+def test_statement_sheets_come_from_payouts_written_once(spark, platform):
+    """Three sheets are added up from one set of rows; without those of f1 they lose p1, the fees' sheet does not."""
+    info = spark.createDataFrame([("m1", "A"), ("m2", "B")], "merchant_id string, merchant_name string")
+    written = []
+
+    def stage(rows):
+        written.append(rows.columns)
+        return spark.createDataFrame(rows.filter("mfp_id <> 'f1'").collect(), rows.schema)
+
+    def sheets(**how):
+        pack = documents.statement_pack(documents.statement_sections(platform, info, **how))
+        return {(r.section_no, r.merchant_id, r.line.split("\t")[0]) for r in pack.filter("row_no > 9").collect()}
+
+    whole, less = sheets(), sheets(stage=stage)
+    assert len(written) == 1 and {"links_in_month", "charge_cents", "amount_cents"} <= set(written[0])
+    assert {(2, "m1", "p1"), (3, "m1", "p1"), (4, "m1", "f1"), (2, "m2", "p2"), (3, "m2", "p2")} <= whole
+    assert whole - less == {(2, "m1", "p1"), (3, "m1", "p1")}
+    only = documents.statement_sections(platform, info, spark.createDataFrame([("m2",)], "merchant_id string"))
+    assert {r.merchant_id for r in only[1].rows.collect()} == {"m2"} and only[1].of_pack
+
+
+def test_links_of_a_month_are_counted_for_each_payout(spark, platform):
+    """A payout that two fee payouts of a month cover has two links, whose ever they are; links without time or payout have none."""
+    more = spark.createDataFrame([("f1", "m1", None, "PAID", 1)], platform.fee_payout.schema).withColumn("id", F.lit("f9"))
+    links = platform.fee_payout_payout.unionByName(spark.createDataFrame([("f2", "p1"), ("f3", "p1"), ("f9", "p1"), ("f1", None)], platform.fee_payout_payout.schema))
+    p = dataclasses.replace(platform, fee_payout=platform.fee_payout.unionByName(more), fee_payout_payout=links)
+    found = {(r.mfp_id, r.link_mp_id): r.links_in_month for r in statements.covered_payouts(p).collect()}
+    assert found["f1", "p1"] == found["f2", "p1"] == 2 and found["f3", "p1"] == found["f2", "p2"] == 1
+    assert found["f9", "p1"] is None and found["f1", None] is None
+
+
 def test_pack_cells_stay_in_place(spark):
     """Tabs, line breaks and backslashes are written out; order columns of any type number the rows of all sheets."""
     info = spark.createDataFrame([("m1", "A\tB\\n\r\nC")], "merchant_id string, merchant_name string")
