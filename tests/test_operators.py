@@ -301,3 +301,22 @@ def test_spans_give_times_back(spark):
     df = spark.createDataFrame([(a, b) for a in times for b in times], "a timestamp_ntz, b timestamp_ntz")
     found = df.select("a", F.col("b").alias("was"), packing.spanned("b", since="a")).select("was", packing.unspanned("b", since="a"))
     assert all(r.was == r.b for r in found.collect())
+
+
+@few
+@given(data=st.lists(st.tuples(*[st.sampled_from([None, 0, 1, -1, 6, 7, 8, 254, 255, 2**31, 2**62, -(2**63)])] * 3), min_size=1, max_size=12))
+def test_folded_numbers_come_back(spark, data):
+    """Nulls, the largest numbers of the bits and those that need more; where all fit, no text is beside the number."""
+    df = spark.createDataFrame(data, "a long, b long, c long")
+    bits = {"a": 3, "b": 8, "c": 52}
+    folds = df.select("a", "b", "c", *packing.folded(bits, "f"))
+    found = folds.select("a", "b", "c", "f", "f_rest", *[v.alias(f"back_{n}") for n, v in packing.unfolded(bits, "f").items()]).collect()
+    for r in found:
+        fit = all(v is None or 0 <= v < 2**w - 1 for v, w in zip(r[:3], bits.values()))
+        assert r[5:] == r[:3] and (r.f_rest is None) == (r.f is not None) == fit
+
+
+def test_days_and_spans_make_the_time(spark):
+    times = [None, dt.datetime(2024, 2, 29), dt.datetime(1960, 1, 1, 23, 59, 59, 999999), dt.datetime(9999, 12, 31, 12)]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz").select("t", packing.day_number("t").alias("d"), packing.of_day("t").alias("s"))
+    assert [r.u for r in df.select(packing.day_and_span(F.col("d"), F.col("s")).alias("u")).collect()] == times

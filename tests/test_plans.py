@@ -1,13 +1,14 @@
 """Plan shape: no Python on the data path, no pairing joins, and single passes where they are promised."""
 
+import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import SparkSession
 
 from tallywright.registry import QUERIES
-from tallywright.registry.views import TASKS_PER_SCAN, LogicalTables
-from tallywright.sources.tables import read_table
+from tallywright.registry.views import TASKS_PER_SCAN, LogicalTables, _dealt
+from tallywright.sources.tables import read_table, table_schema
 
 
 def physical(df) -> str:
@@ -135,3 +136,25 @@ def test_statement_rows_meet_intents_with_one_text(no_broadcast, sf_dir):
     plan = optimized(QUERIES["stmt_transaction_level"](no_broadcast, sf_dir))
     columns = re.search(r"Join LeftOuter, \(payment_intent_id[^\n]*\n[^\n]*Project \[([^\n]*)\]", plan).group(1)
     assert "texts" in columns and not re.search("currency|merchant_name#|division_|mfp_id|settled_at#[^ ]* AS", columns)
+
+
+def test_ledger_rows_carry_their_numbers_in_few_columns(no_broadcast, sf_dir):
+    """Cents and days of transactions and payouts are one number each where rows are shuffled by id and by payout."""
+    plan = physical(QUERIES["transaction_ledger"](no_broadcast, sf_dir))
+    assert "money" in plan and "paid" in plan
+    optimized_plan = optimized(QUERIES["transaction_ledger"](no_broadcast, sf_dir))
+    columns = re.search(r"RepartitionByExpression \[created_at[^\n]*\n[^\n]*Union[^\n]*\n[^\n]*Project \[([^\n]*)\]", optimized_plan).group(1)
+    assert {"money", "paid"} <= set(re.findall(r"(\w+)#", columns)) and not re.search(r"amount|_fee#|created_at#\d+, .*created_at#", columns)
+
+
+def test_lines_come_back_from_being_dealt(spark):
+    """Amounts of no whole cents, below zero, infinite or too large, nulls, separators and times outside the bits stay as they are."""
+    amounts = [0.0, None, 0.01, 655.34, 655.35, 1 / 3, -5.25, 1e300, float("inf"), 21474836.46, 21474836.47, 0.1 + 0.2]
+    times = [dt.datetime(1998, 1, 1), None, dt.datetime(1960, 5, 5, 1), dt.datetime(2300, 1, 1, 23, 59, 59, 999999), dt.datetime(1999, 1, 1, 7)]
+    flags = ["A", None, "", "x\x1f", "\x1e2"]
+    data = [(i, 1, 1, i, amounts[i % 12], amounts[i * 5 % 12], 0.1, None, flags[i % 5], flags[i % 3], times[i % 5]) for i in range(120)]
+    lines = spark.createDataFrame(data, table_schema("lineitem"))
+    dealt = _dealt(lines, "lineitem", 5, "l_orderkey")
+    assert dealt.schema.simpleString() == lines.schema.simpleString() and dealt.rdd.getNumPartitions() == 5
+    assert sorted(map(repr, dealt.collect())) == sorted(map(repr, lines.collect()))
+    assert re.search(r"RepartitionByExpression \[l_orderkey[^\n]*\n[^\n]*Project \[[^\n]* AS _folded#[^\n]* AS _texts#", optimized(dealt))
